@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kiosko.plans.common import read
+from kiosko.queries import titles
 from kiosko.streaming import late
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,8 @@ def p1_corrections(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_daily_counts, p1_corrections)}
+for _m in (titles,):
+    QUERIES |= _m.QUERIES
 
 _LATE = """
   art AS (SELECT id, min(fecha) AS fecha, min(coalesce(fecha_scraping, CAST(created_at AS DATE))) AS llegada FROM noticias WHERE id IS NOT NULL GROUP BY id),
@@ -42,3 +45,5 @@ ORACLE: dict[str, str] = {
       c AS (SELECT *, coalesce(sum(CASE WHEN efecto <> 'excluida' THEN n END) OVER (PARTITION BY fecha ORDER BY llegada), 0)::BIGINT AS despues FROM p)
       SELECT llegada, fecha, n, efecto, (despues - CASE WHEN efecto <> 'excluida' THEN n ELSE 0 END)::BIGINT AS antes, despues FROM c""",
 }
+for _m in (titles,):
+    ORACLE |= _m.ORACLE
