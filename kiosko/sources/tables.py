@@ -8,6 +8,7 @@ the shared folder, for they are read from the table that they replace.
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,8 +17,16 @@ from pyspark.sql import types as T
 from kiosko.plans.common import written
 
 
+_TYPES = {
+    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "int": T.IntegerType(), "smallint": T.ShortType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "decimal(10,6)": T.DecimalType(10, 6), "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def _type(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A schema from "name type, ..."; unlike Spark's own parser, without a session."""
+    pairs = [x.strip().split(" ", 1) for x in re.split(r",(?![^(]*\))", text)]
+    return T.StructType([T.StructField(n.strip("`"), _TYPES[t]) for n, t in pairs])
 
 
 #: The schemas of all relations.
