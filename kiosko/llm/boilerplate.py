@@ -22,6 +22,10 @@ from kiosko.plans.common import hinted, written
 _BLANK = r"[\t\x0b\f\r\x1c-\x1f\x85\p{Z}]+"
 
 
+#: The repeated lines of all sources are broadcast, by two hashes each, if they are at most so many.
+BROADCAST_LINES = 500_000
+
+
 def normal_lines(body: Column) -> Column:
     """The lines of a body, compared in lower case, with white space trimmed and squeezed and digits made one mark."""
     flat = F.regexp_replace(F.regexp_replace(F.lower(body), _BLANK, " "), r"\p{Nd}+", "0")
@@ -39,20 +43,22 @@ def _documents(docs: DataFrame, key: str, source: str, body: str) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, key: str = "id", source: str = "fuente", body: str = "cuerpo", least: int = 4, share: float = 0.02) -> DataFrame:
-    """(s, h, g, n, total, linea): the lines in at least ``least`` documents and ``share`` of a source's documents with
-    non-blank body, with one of their spellings."""
+    """(s, h, g, n, total): the lines in at least ``least`` documents and ``share`` of a source's documents with
+    non-blank body, by the two hashes of the line."""
     own = _documents(docs, key, source, body).where(F.length(F.regexp_replace("t", r"[\s\x1c-\x1f\x85\p{Z}]+", "")) > 0)
     total = own.select("s", F.xxhash64("k").alias("kh"), "k").distinct().groupBy("s").agg(F.count("*").alias("total"))
     lines = own.select("s", F.xxhash64("k").alias("k1"), F.xxhash64(F.lit(1), "k").alias("k2"), F.explode(F.array_distinct(hashed_lines(F.col("t")))).alias("x"))
     lines = lines.where("x is not null").select("s", F.col("x.h").alias("h"), F.col("x.g").alias("g"), "k1", "k2")
     counts = lines.distinct().groupBy("s", "h", "g").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return counts.join(total, "s").where(F.col("n") >= F.col("total") * share)
+    return counts.join(total, "s").where(F.col("n") + 1e-9 >= F.col("total") * share)  # the product may be a little above a whole number
 
 
 def _marked(docs: DataFrame, repeated: DataFrame, key: str, source: str, body: str) -> DataFrame:
     """(k, s, t, own): each row with the hashes of the repeated lines of its source, as one array."""
-    by_source = repeated.groupBy("s").agg(F.collect_set(F.struct("h", "g")).alias("own"))
-    return _documents(docs, key, source, body).join(hinted(written(by_source), 20_000), "s", "left")
+    by_source = written(repeated.groupBy("s").agg(F.collect_set(F.struct("h", "g")).alias("own")))
+    lines = by_source.agg(F.sum(F.size("own"))).first()[0] or 0
+    side = F.broadcast(by_source) if lines <= BROADCAST_LINES else by_source
+    return _documents(docs, key, source, body).join(side, "s", "left")
 
 
 def repeated_places(docs: DataFrame, key: str = "id", source: str = "fuente", body: str = "cuerpo", least: int = 4, share: float = 0.02) -> DataFrame:

@@ -43,14 +43,15 @@ COMPAT = {"<wide>", "<narrow>", "<noBreak>", "<font>", "<compat>", "<initial>",
 IGNORABLE = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10)}
 JOINERS = "‌‍"
 
-#: Text in which nothing can change: graphic ASCII and Latin-1 letters and marks, parted by single spaces.
-#: The character classes are valid in Java's and Python's syntax alike.
-_STABLE = "[!-~¡-¬®-´¶-ÿ–—‘’“”€]"
-STABLE_TITLE = f"^{_STABLE}+( {_STABLE}+)*$"
+# Graphic characters that stay as they are.
+_STABLE = "!-~¡-¬®-´¶-ÿ–—‘’“”€"
+#: What text must hold to be changed at all: another character, or white space that isn't one blank between words.
+#: Searches for single characters, in a syntax that Java and Python share, so no text is too long for them.
+UNSTABLE_TITLE = f"[^ {_STABLE}]|^ | $|  "
 #: The same for texts of several lines, whose white space doesn't matter.
-STABLE_TEXT = f"^[ \\n\\t{_STABLE[1:]}*$"
-_stable_text = re.compile(STABLE_TEXT)
-_stable_title = re.compile(STABLE_TITLE)
+UNSTABLE_TEXT = f"[^ \n\t{_STABLE}]"
+_unstable_title = re.compile(UNSTABLE_TITLE)
+_unstable_text = re.compile(UNSTABLE_TEXT)
 _token = re.compile(r"[^\W\d_](?:[^\W_]|[̀-ͯ])*")
 
 
@@ -139,7 +140,7 @@ def _resolve(token: str, around: str) -> str:
 
 def consistent(text: str | None, lines: bool = False) -> str | None:
     """The consistent form of a text; ``lines`` keeps its line breaks.  None gives None."""
-    if text is None or (_stable_text if lines else _stable_title).match(text):
+    if text is None or not (_unstable_text if lines else _unstable_title).search(text):
         return text
     text = _shown(text)
     text = "".join(map(_presented, text))
@@ -164,8 +165,8 @@ def _consistent_udf(s: pd.Series) -> pd.Series:
 
 def consistent_column(col: Column) -> Column:
     """``consistent`` of a column.  Only values that may change reach Python; the JVM passes all others by."""
-    stable = col.rlike(STABLE_TITLE)
-    return F.when(stable, col).otherwise(_consistent_udf(F.when(~stable, col)))
+    unstable = col.rlike(UNSTABLE_TITLE)
+    return F.when(unstable, _consistent_udf(F.when(unstable, col))).otherwise(col)
 
 
 def articles(noticias: DataFrame, *cols: str) -> DataFrame:

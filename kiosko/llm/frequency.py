@@ -100,7 +100,7 @@ def marked(counts: DataFrame, rare: int = 2, common: float = 0.005) -> DataFrame
     """With ``raro`` (in at most ``rare`` records) and ``comun`` (at least ``common`` of all occurrences)."""
     total = counts.agg(F.sum("ocurrencias").alias("_total"))
     return counts.crossJoin(F.broadcast(total)).select(  # one row
-        "valor", "ocurrencias", "registros", (F.col("registros") <= rare).alias("raro"), (F.col("ocurrencias") >= F.col("_total") * common).alias("comun")
+        "valor", "ocurrencias", "registros", (F.col("registros") <= rare).alias("raro"), (F.col("ocurrencias") + 1e-9 >= F.col("_total") * common).alias("comun")
     )
 
 

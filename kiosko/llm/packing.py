@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,14 +47,14 @@ def tokenizer(path: str):
 def token_counts(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """(doc_id, tokens) of every row; null texts have 0."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path).encode_ordinary
-        for f in frames:
-            n = [len(encode(x)) if x else 0 for x in f["text"].tolist()]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "tokens": np.array(n, np.int64)})
+        for b in batches:
+            n = [len(encode(x)) if x else 0 for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["doc_id", "tokens"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInPandas(count, f"doc_id {kind}, tokens bigint")
+    return documents.select("doc_id", "text").mapInArrow(count, f"doc_id {kind}, tokens bigint")
 
 
 def patterns(capacity: int, sizes: np.ndarray) -> np.ndarray:
@@ -222,15 +222,16 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
     own = Window.partitionBy("tokens", "_salt").orderBy("doc_id", "pieza")
     numbered = pieces.withColumn("_n", F.row_number().over(own).cast("bigint") - 1)
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, first = shared.value
-        for f in frames:
-            base = np.array([first[k] for k in zip(f["tokens"].tolist(), f["_salt"].tolist(), strict=True)], np.int64)
-            f["contenedor"] = slots.container(f["tokens"].to_numpy(), base + f["_n"].to_numpy())
-            yield f[["doc_id", "pieza", "desde", "tokens", "contenedor"]]
+        for b in batches:
+            size, salt, number = (b.column(c).to_numpy() for c in ("tokens", "_salt", "_n"))
+            base = np.array([first[k] for k in zip(size.tolist(), salt.tolist(), strict=True)], np.int64)
+            out = pa.array(slots.container(size, base + number))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "pieza", "desde", "tokens")), out], names=["doc_id", "pieza", "desde", "tokens", "contenedor"])
 
     kind = sizes.schema["doc_id"].dataType.simpleString()
-    return numbered.mapInPandas(place, f"doc_id {kind}, pieza bigint, desde bigint, tokens bigint, contenedor bigint")
+    return numbered.mapInArrow(place, f"doc_id {kind}, pieza bigint, desde bigint, tokens bigint, contenedor bigint")
 
 
 def packed_documents(documents: DataFrame, capacity: int = CAPACITY, tokenizer_path: str = TOKENIZER) -> DataFrame:

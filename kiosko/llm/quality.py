@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,17 +137,18 @@ def quality(documents: DataFrame, labels: DataFrame, common_words: DataFrame, do
     common = frozenset(r[0].lower() for r in common_words.select("palabra").where("palabra is not null").distinct().limit(10_000).collect())
     shared = documents.sparkSession.sparkContext.broadcast(fit_model(documents, labels, common, docs))
 
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         lexicon = P.Lexicon(model.known, model.common)
-        for f in frames:
-            out = figures(f["text"].fillna("").tolist(), model, lexicon)
-            out.insert(0, "doc_id", f["doc_id"].to_numpy())
-            out["es_prosa"] = pd.array(np.where(out["prosa"].isna(), None, out["prosa"] >= 0.5), "boolean")
-            yield out
+        for b in batches:
+            out = figures([x or "" for x in b.column(1).to_pylist()], model, lexicon)
+            prose = out["prosa"].to_numpy()
+            arrays = [b.column(0), *(pa.array(out[c].to_numpy(), from_pandas=True) for c in out.columns)]
+            arrays.append(pa.array(prose >= 0.5, mask=np.isnan(prose)))
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *out.columns, "es_prosa"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInPandas(judge, f"doc_id {kind}, {FIGURES}, es_prosa boolean")
+    return documents.select("doc_id", "text").mapInArrow(judge, f"doc_id {kind}, {FIGURES}, es_prosa boolean")
 
 
 def not_prose(documents: DataFrame, labels: DataFrame, common_words: DataFrame) -> DataFrame:
