@@ -118,6 +118,8 @@ def similar(queries: DataFrame, rows: DataFrame, threshold: float, block: int =
     for i in range(blocks):
         own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i)
         held = own.where("vec_id is not null and embedding is not null").select("vec_id", "embedding").collect()
+        if not held and blocks > 1:
+            continue
         ids = np.array([r.vec_id for r in held], np.int64)
         shared = spark.sparkContext.broadcast((ids, _unit([r.embedding for r in held])))
 
@@ -132,13 +134,15 @@ def similar(queries: DataFrame, rows: DataFrame, threshold: float, block: int =
                     yield pd.DataFrame({"a": ids[x], "b": own[y], "similitud": s[x, y]})
 
         parts.append(rows.select("vec_id", "embedding").mapInPandas(run, "a bigint, b bigint, similitud double"))
-    out = parts[0]
+    out = parts[0] if parts else spark.createDataFrame([], "a bigint, b bigint, similitud double")
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
 def _unit(vectors: list) -> np.ndarray:
+    if not vectors:
+        return np.zeros((0, 0))
     m = np.array([np.asarray(v, float) for v in vectors], float).reshape(len(vectors), -1)
     n = np.linalg.norm(m, axis=1, keepdims=True)
     return np.where(n > 0, m / np.where(n > 0, n, 1), np.nan)

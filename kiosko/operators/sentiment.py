@@ -44,8 +44,8 @@ def prompt(titles: list[str]) -> str:
 
 
 def confidence(raw: Column) -> Column:
-    """0 to 100: values above 1 are percent already; rounded half to even."""
-    return F.greatest(F.lit(0), F.least(F.lit(100), F.bround(F.when(raw > 1, raw).otherwise(raw * 100)).cast("int")))
+    """0 to 100: values above 1 are percent already; rounded half to even.  Null stays null."""
+    return F.when(raw.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(100), F.bround(F.when(raw > 1, raw).otherwise(raw * 100)).cast("int"))))
 
 
 def lexicon_answer(text: str) -> str:

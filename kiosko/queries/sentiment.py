@@ -168,7 +168,7 @@ ORACLE = {
       round(round(100.0::DOUBLE * positivo / total, 1) - round(100.0::DOUBLE * negativo / total, 1), 1) AS neto FROM w WHERE total >= 3""",
     "actor_daily": f"""WITH {_TONED}, a AS (SELECT fecha, fuente, t.actor AS actor, sentimiento FROM toned, unnest(list_distinct(regexp_extract_all(titulo, '{NAME}'))) AS t(actor))
       SELECT fecha, fuente, actor, sentimiento, count(*) AS n FROM a GROUP BY ALL""",
-    "confidence_normalised": """SELECT id, procesado_en, greatest(0, least(100, round_even(CASE WHEN r > 1 THEN r ELSE r * 100 END, 0)::INTEGER)) AS confianza_norm
+    "confidence_normalised": """SELECT id, procesado_en, CASE WHEN r IS NOT NULL THEN greatest(0, least(100, round_even(CASE WHEN r > 1 THEN r ELSE r * 100 END, 0)::INTEGER)) END AS confianza_norm
       FROM (SELECT *, CASE WHEN confianza % 2 = 0 THEN confianza / 100.0::DOUBLE ELSE confianza::DOUBLE END AS r FROM noticias_sentimiento)""",
     "model_distribution": """SELECT modelo, prompt_version, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY procesado_en DESC NULLS LAST, lower(trim(sentimiento)) DESC, modelo DESC NULLS LAST, confianza DESC NULLS LAST, prompt_version DESC NULLS LAST) AS r
       FROM noticias_sentimiento WHERE id IS NOT NULL AND lower(trim(sentimiento)) IN ('positivo', 'neutral', 'negativo')) WHERE r = 1 GROUP BY ALL""",
