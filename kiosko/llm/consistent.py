@@ -124,6 +124,8 @@ def _spelled(token: str, script: str) -> str:
 def _resolve(token: str, around: str) -> str:
     """The consistent spelling of a token in a text whose plain tokens are in the script ``around``."""
     letters = [c for c in token if c.isalpha()]
+    if not letters:  # a numeral such as a superscript
+        return token
     common = frozenset.intersection(*map(_scripts_of, letters))
     if common:  # the token can be spelled in one script throughout
         if len(common) == 1:

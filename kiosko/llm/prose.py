@@ -254,7 +254,7 @@ def fit(s: Segments, prose: np.ndarray, steps: int = 40, rate: float = 0.15, dec
     """
     f, seg = s.features()
     k = len(s.starts)
-    chars = s.sums((s.len + 1) * s.body).astype(float)
+    chars = s.sums((s.len + 1) * (s.body & ~s.blank)).astype(float)
     each = s.by_doc(chars, len(prose))
     share = chars / np.maximum(each, 1)[s.doc_of_seg]
     n1 = max(1, int(prose.sum()))

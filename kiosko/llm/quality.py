@@ -83,7 +83,7 @@ def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
         by = lambda x, d=s.doc, k=k: np.bincount(d, weights=x, minlength=k)[:k]
         words = s.word | s.digit
         symbol = s.body & ~words & ~s.blank
-        chars = (s.len + 1) * s.body
+        chars = (s.len + 1) * (s.body & ~s.blank)
         if model.weights is not None:
             good = P.segment_scores(s, model.weights) > 0
         else:
