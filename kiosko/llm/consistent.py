@@ -67,14 +67,14 @@ def _script(ch: str) -> str:
 def _presented(ch: str) -> str:
     """The ordinary characters, decomposed, that a single character presents."""
     tag, _, rest = unicodedata.decomposition(ch).partition(" ")
-    if tag in COMPAT:
+    if tag in COMPAT and ch not in TO_LATIN:
         plain = "".join(chr(int(x, 16)) for x in rest.split())
         if len(plain) > 1 and plain[0] == " " and unicodedata.combining(plain[1]):
             return ch  # a free-standing accent is visible
         return "".join(_presented(x) for x in plain)
     if unicodedata.category(ch) == "Zs":
         return " "
-    return unicodedata.normalize("NFD", ch)
+    return ch if ch in TO_LATIN else unicodedata.normalize("NFD", ch)
 
 
 @lru_cache(maxsize=1 << 16)
@@ -144,8 +144,7 @@ def consistent(text: str | None, lines: bool = False) -> str | None:
     """The consistent form of a text; ``lines`` keeps its line breaks.  None gives None."""
     if text is None or not (_unstable_text if lines else _unstable_title).search(text):
         return text
-    text = _shown(text)
-    text = "".join(map(_presented, text))
+    text = _shown("".join(map(_presented, text)))
     if any(c in LATIN for c in set(text)):
         text = "".join(LATIN.get(c, c) for c in text)
     text = re.sub("ı(?=[̀-̔])", "i", text)  # a dotless i below an accent
