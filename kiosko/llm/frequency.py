@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiosko.plans.common import written
+
 #: A value is heavy from this share of the sampled rows on, so there are at most 1 / HEAVY heavy values.
 HEAVY = 1 / 500
 #: Rows of the sample that finds them.
@@ -42,14 +44,14 @@ def normal_value(col: Column) -> Column:
     return F.when(plain, F.trim(F.regexp_replace(F.lower(col), " +", " "))).otherwise(_normal_udf(F.when(~plain, col)))
 
 
-def heavy_values(rows: DataFrame, share: float = HEAVY, sample: int = SAMPLE) -> list[str]:
-    """Values that take at least ``share`` of a bounded sample of the rows."""
-    total = rows.count()
+def heavy_values(values: DataFrame, share: float = HEAVY, sample: int = SAMPLE) -> list[str]:
+    """The values of a column that take at least ``share`` of a bounded sample of its rows."""
+    total = values.count()  # of the files' footers
     if not total:
         return []
-    some = rows if total <= sample else rows.sample(sample / total, seed=7)
-    counts = some.groupBy("valor").count()
-    return sorted(r[0] for r in counts.where(F.col("count") >= max(2.0, share * min(total, sample))).orderBy(F.desc("count"), "valor").limit(int(2 / share)).collect())
+    some = values if total <= sample else values.sample(sample / total, seed=7)
+    counts = some.select(normal_value(F.col(values.columns[0])).alias("valor")).where("valor <> ''").groupBy("valor").count()
+    return sorted(r[0] for r in counts.where(F.col("count") >= max(2.0, share * min(total, sample))).orderBy(F.desc("count"), "valor").limit(max(1, int(2 / share))).collect())
 
 
 def frequencies(table: DataFrame, value: str, weight: str, records: list[str], share: float = HEAVY) -> DataFrame:
@@ -58,7 +60,7 @@ def frequencies(table: DataFrame, value: str, weight: str, records: list[str], s
     record = F.xxhash64(*records) if len(records) > 1 else F.coalesce(F.xxhash64(records[0]), F.lit(0))
     check = F.xxhash64(F.lit(1), *records)
     rows = rows.select(normal_value(F.col(value)).alias("valor"), F.coalesce(F.col(weight), F.lit(0)).cast("bigint").alias("w"), record.alias("r1"), check.alias("r2")).where("valor <> ''")
-    heavy = heavy_values(table.where(F.col(value).isNotNull()).select(normal_value(F.col(value)).alias("valor")).where("valor <> ''"), share)
+    heavy = heavy_values(table.select(value), share)
     light = rows.where(~F.col("valor").isin(heavy)) if heavy else rows
     light = light.groupBy("valor", "r1", "r2").agg(F.sum("w").alias("w"))
     if heavy:
@@ -98,6 +100,7 @@ def frequencies(table: DataFrame, value: str, weight: str, records: list[str], s
 
 def marked(counts: DataFrame, rare: int = 2, common: float = 0.005) -> DataFrame:
     """With ``raro`` (in at most ``rare`` records) and ``comun`` (at least ``common`` of all occurrences)."""
+    counts = written(counts)  # once, for the total and the marks
     total = counts.agg(F.sum("ocurrencias").alias("_total"))
     return counts.crossJoin(F.broadcast(total)).select(  # one row
         "valor", "ocurrencias", "registros", (F.col("registros") <= rare).alias("raro"), (F.col("ocurrencias") + 1e-9 >= F.col("_total") * common).alias("comun")
