@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiosko.plans.common import written
+
 # Letters of other scripts and the Latin letter that looks the same.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХҮѴԚԜԌӀасеѕіјорухһԁԛԝӏүѵ", "ABESIJKMHOPCTYXYVQWGIacesijopyxhdqwlyv", strict=True))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳοανρυιγϲ", "ABEZHIKMNOPTYXCjoavpuiyc", strict=True))
@@ -188,7 +190,7 @@ def lookalike_pairs(noticias: DataFrame) -> DataFrame:
     Only forms written in two ways or more go on.  Their *spellings* are paired, then each spelling's articles are
     joined to the pairs, so equal strings are never compared with one another.
     """
-    own = consistent_titles(noticias).where(F.col("forma") != "")
+    own = written(consistent_titles(noticias).where(F.col("forma") != ""))  # once, for it is read four times
     several = own.groupBy("forma").agg(F.min("titulo").alias("lo"), F.max("titulo").alias("hi")).where("lo <> hi").select("forma")
     own = own.join(several, "forma", "left_semi")
     spelled = own.select("forma", "titulo").distinct()
