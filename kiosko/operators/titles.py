@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kiosko.functions import dictionaries as D
 from kiosko.functions import text as X
+from kiosko.plans.common import once
 
 
 def articles(noticias: DataFrame, *columns: str) -> DataFrame:
@@ -29,9 +30,9 @@ def article_terms(rows: DataFrame, dynamic: dict[tuple[str, ...], str] | None =
     if dynamic:
         both = {**D.compounds(), **{k: v for k, v in dynamic.items() if k not in D.compounds()}}
         rows = rows.withColumn("_t", X.kept_tokens(X.tokens(X.term_profile(F.col("titulo")))))
-        rows = X.fused_by_dictionary(rows, "_t", both).withColumn("_t", X.canonical_terms(F.col("_t")))
+        rows = X.fused_by_dictionary(rows, "_t", both).withColumn("_t", once(X.canonical_terms(F.col("_t"))))
     else:
-        rows = rows.withColumn("_t", X.title_terms(F.col("titulo")))
+        rows = rows.withColumn("_t", once(X.title_terms(F.col("titulo"))))
     return rows.withColumn("termino", F.explode("_t")).drop("_t").where(F.length("termino") <= longest)
 
 
@@ -48,10 +49,10 @@ def daily_metrics(rows: DataFrame, terms: DataFrame) -> DataFrame:
 
 def article_ngrams(rows: DataFrame) -> DataFrame:
     """One row per 2-gram and 3-gram of a title: the columns of ``rows``, ``ngrama`` and ``tipo``."""
-    plain = with_title(rows).withColumn("_p", X.ngram_profile(F.col("titulo")))
+    plain = with_title(rows).withColumn("_p", once(X.ngram_profile(F.col("titulo"))))
     two = F.transform(X.ngrams(F.col("_p"), 2), lambda g: F.struct(g.alias("g"), F.lit(2).cast("smallint").alias("n")))
     three = F.transform(X.ngrams(F.col("_p"), 3), lambda g: F.struct(g.alias("g"), F.lit(3).cast("smallint").alias("n")))
-    return plain.withColumn("_g", F.explode(F.concat(two, three))).withColumn("ngrama", F.col("_g.g")).withColumn("tipo", F.col("_g.n")).drop("_g", "_p")
+    return plain.withColumn("_g", once(F.concat(two, three))).withColumn("_g", F.explode("_g")).withColumn("ngrama", F.col("_g.g")).withColumn("tipo", F.col("_g.n")).drop("_g", "_p")
 
 
 def ngram_counts(grams: DataFrame, *keys: str) -> DataFrame:
@@ -67,9 +68,9 @@ def row_pairs(items: Column) -> Column:
 
 def pair_counts(rows: DataFrame, *keys: str, longest: int = 150) -> DataFrame:
     """(keys..., termino_a, termino_b, n): articles whose title holds both terms."""
-    own = with_title(rows).withColumn("_t", X.title_terms(F.col("titulo"), pairs=True))
+    own = with_title(rows).withColumn("_t", once(X.title_terms(F.col("titulo"), pairs=True)))
     own = own.withColumn("_t", F.array_sort(F.array_distinct(F.filter("_t", lambda x: F.length(x) <= longest))))
-    pairs = own.select(*keys, F.explode(row_pairs(F.col("_t"))).alias("_p"))
+    pairs = own.select(*keys, once(row_pairs(F.col("_t"))).alias("_p")).select(*keys, F.explode("_p").alias("_p"))
     return pairs.groupBy(*keys, F.col("_p.a").alias("termino_a"), F.col("_p.b").alias("termino_b")).agg(F.count("*").cast("int").alias("n"))
 
 

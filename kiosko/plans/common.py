@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if a count has shown that it has at most so many rows.
@@ -46,3 +46,12 @@ def hinted(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     ``small`` is counted, so it should be a written table.
     """
     return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+
+
+def once(col: Column) -> Column:
+    """The same values, computed once a row.
+
+    The optimiser copies what a filter or a generator reads into filters of its own further down, so an expensive array
+    that is exploded would be made twice.  What isn't deterministic stays where it is.
+    """
+    return F.when(F.spark_partition_id() >= 0, col)

@@ -9,7 +9,7 @@ from kiosko.functions import dictionaries as D
 from kiosko.functions import text as X
 from kiosko.operators import network as N
 from kiosko.operators import titles as O
-from kiosko.plans.common import read
+from kiosko.plans.common import once, read
 from kiosko.queries import sql as Q
 
 DYNAMIC = 20  # occurrences from which an n-gram is a compound, in the test tables
@@ -130,7 +130,7 @@ def tfidf_week(spark, d):
 def body_terms_daily(spark, d):
     own = O.articles(read(spark, d, "noticias"), "cuerpo_limpio", "fecha")
     toks = X.kept_tokens(X.tokens(F.lower("cuerpo_limpio")))
-    return own.select("fecha", F.explode(toks).alias("termino")).groupBy("fecha", "termino").agg(F.count("*").cast("int").alias("frecuencia"))
+    return own.select("fecha", once(toks).alias("toks")).select("fecha", F.explode("toks").alias("termino")).groupBy("fecha", "termino").agg(F.count("*").cast("int").alias("frecuencia"))
 
 
 def body_ngrams_daily(spark, d):
