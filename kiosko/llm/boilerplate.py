@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiosko.plans.common import hinted, written
+from kiosko.plans.common import hinted, once, written
 
 #: White space other than a line break, in Java's syntax.
 _BLANK = r"[\t\x0b\f\r\x1c-\x1f\x85\p{Z}]+"
@@ -47,7 +47,8 @@ def repeated_lines(docs: DataFrame, key: str = "id", source: str = "fuente", bod
     non-blank body, by the two hashes of the line."""
     own = _documents(docs, key, source, body).where(F.length(F.regexp_replace("t", r"[\s\x1c-\x1f\x85\p{Z}]+", "")) > 0)
     total = own.select("s", F.xxhash64("k").alias("kh"), "k").distinct().groupBy("s").agg(F.count("*").alias("total"))
-    lines = own.select("s", F.xxhash64("k").alias("k1"), F.xxhash64(F.lit(1), "k").alias("k2"), F.explode(F.array_distinct(hashed_lines(F.col("t")))).alias("x"))
+    lines = own.select("s", F.xxhash64("k").alias("k1"), F.xxhash64(F.lit(1), "k").alias("k2"), once(F.array_distinct(hashed_lines(F.col("t")))).alias("x"))
+    lines = lines.select("s", "k1", "k2", F.explode("x").alias("x"))
     lines = lines.where("x is not null").select("s", F.col("x.h").alias("h"), F.col("x.g").alias("g"), "k1", "k2")
     counts = lines.distinct().groupBy("s", "h", "g").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return counts.join(total, "s").where(F.col("n") + 1e-9 >= F.col("total") * share)  # the product may be a little above a whole number
@@ -64,31 +65,28 @@ def _marked(docs: DataFrame, repeated: DataFrame, key: str, source: str, body: s
 def repeated_places(docs: DataFrame, key: str = "id", source: str = "fuente", body: str = "cuerpo", least: int = 4, share: float = 0.02) -> DataFrame:
     """(id, nro_linea): each place of a repeated line, lines numbered from 1."""
     rows = _marked(docs, repeated_lines(docs, key, source, body, least, share), key, source, body).where("own is not null and t is not null")
-    rows = rows.select("k", hashed_lines(F.col("t")).alias("lines"), "own").withColumn("hit", F.array_intersect("lines", "own"))
-    places = rows.where(F.size("hit") > 0).select("k", "hit", F.posexplode("lines").alias("p", "x"))
-    return places.where("x is not null and array_contains(hit, x)").select(F.col("k").alias(key), (F.col("p") + 1).alias("nro_linea")).distinct()
+    rows = rows.select("k", once(hashed_lines(F.col("t"))).alias("lines"), "own").withColumn("hit", once(F.array_intersect("lines", "own")))
+    at = F.filter(F.transform("lines", lambda x, i: F.when(F.array_contains("hit", x), i + 1)), lambda i: i.isNotNull())
+    places = rows.select("k", once(at).alias("at")).select("k", F.explode("at").alias("nro_linea"))
+    return places.select(F.col("k").alias(key), "nro_linea").distinct()
 
 
 def without_repeated(docs: DataFrame, key: str = "id", source: str = "fuente", body: str = "cuerpo", least: int = 4, share: float = 0.02) -> DataFrame:
     """(id, cuerpo): each document's body without the repeated lines of its source.  Bodies without any stay as they
     are, null stays null; a body of nothing else becomes empty.  Each row of the input gives a row."""
     rows = _marked(docs, repeated_lines(docs, key, source, body, least, share), key, source, body)
-    kept = F.when(F.col("own").isNull() | F.col("t").isNull(), F.col("t")).otherwise(_rest(F.col("t"), F.col("own")))
+    rows = rows.withColumn("lines", once(F.when(F.col("own").isNotNull(), hashed_lines(F.col("t")))))
+    rows = rows.withColumn("hit", once(F.array_compact(F.array_intersect("lines", "own"))))
+    rest = F.filter(F.split("t", "\n", -1), lambda _, i: ~F.coalesce(F.array_contains("hit", F.get("lines", i)), F.lit(False)))
+    kept = F.when(F.size("hit") > 0, F.array_join(rest, "\n")).otherwise(F.col("t"))
     return rows.select(F.col("k").alias(key), kept.alias(body))
 
 
-def _rest(text: Column, own: Column) -> Column:
-    pairs = F.arrays_zip(F.split(text, "\n", -1).alias("l"), hashed_lines(text).alias("x"))
-    hit = F.array_intersect(hashed_lines(text), own)
-    keep = F.filter(pairs, lambda p: p["x"].isNull() | ~F.array_contains(hit, p["x"]))
-    return F.when(F.size(F.filter(hit, lambda x: x.isNotNull())) == 0, text).otherwise(F.array_join(F.transform(keep, lambda p: p["l"]), "\n"))
-
-
 def source_report(docs: DataFrame) -> DataFrame:
     """(fuente, articulos, linea, total): the repeated lines by source, each in its normalised spelling."""
     found = hinted(written(repeated_lines(docs)))
     own = _documents(docs, "id", "fuente", "cuerpo").where("t is not null")
-    spelled = own.select("s", F.explode(F.array_distinct(normal_lines(F.col("t")))).alias("l")).select("s", F.trim("l").alias("linea")).where("linea <> ''")
+    spelled = own.select("s", once(F.array_distinct(normal_lines(F.col("t")))).alias("l")).select("s", F.explode("l").alias("l")).select("s", F.trim("l").alias("linea")).where("linea <> ''")
     spelled = spelled.withColumn("h", F.xxhash64("linea")).withColumn("g", F.xxhash64(F.lit(1), "linea"))
     return (
         spelled.join(found, ["s", "h", "g"])
