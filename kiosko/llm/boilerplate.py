@@ -45,7 +45,7 @@ def _documents(docs: DataFrame, key: str, source: str, body: str) -> DataFrame:
 def repeated_lines(docs: DataFrame, key: str = "id", source: str = "fuente", body: str = "cuerpo", least: int = 4, share: float = 0.02) -> DataFrame:
     """(s, h, g, n, total): the lines in at least ``least`` documents and ``share`` of a source's documents with
     non-blank body, by the two hashes of the line."""
-    own = _documents(docs, key, source, body).where(F.length(F.regexp_replace("t", r"[\s\x1c-\x1f\x85\p{Z}]+", "")) > 0)
+    own = _documents(docs, key, source, body).where(F.col("t").rlike(r"[^\s\x1c-\x1f\x85\p{Z}]"))
     total = own.select("s", F.xxhash64("k").alias("kh"), "k").distinct().groupBy("s").agg(F.count("*").alias("total"))
     lines = own.select("s", F.xxhash64("k").alias("k1"), F.xxhash64(F.lit(1), "k").alias("k2"), once(F.array_distinct(hashed_lines(F.col("t")))).alias("x"))
     lines = lines.select("s", "k1", "k2", F.explode("x").alias("x"))
