@@ -142,9 +142,10 @@ def _resolve(token: str, around: str) -> str:
     return "".join(_spelled(c, script) if c.isalpha() and script in _scripts_of(c) else c for c in token)
 
 
-def consistent(text: str | None, lines: bool = False) -> str | None:
-    """The consistent form of a text; ``lines`` keeps its line breaks.  None gives None."""
-    if text is None or not (_unstable_text if lines else _unstable_title).search(text):
+def consistent(text: str | None, lines: bool = False, layout: bool = False) -> str | None:
+    """The consistent form of a text; ``lines`` keeps its line breaks, ``layout`` all white space besides (no-break
+    and other blanks as blanks).  None gives None."""
+    if text is None or not (_unstable_text if lines or layout else _unstable_title).search(text):
         return text
     text = _shown("".join(map(_presented, text)))
     if any(c in LATIN for c in set(text)):
@@ -156,6 +157,8 @@ def consistent(text: str | None, lines: bool = False) -> str | None:
         around = min(seen, key=lambda s: (-seen[s], s != "Latin", s)) if seen else "Latin"
         text = _token.sub(lambda m: m[0] if m[0].isascii() and around == "Latin" else _resolve(m[0], around), text)
     text = unicodedata.normalize("NFC", text)
+    if layout:
+        return text
     if lines:
         return "\n".join(" ".join(x.split()) for x in text.split("\n"))
     return " ".join(text.split())

@@ -1,12 +1,14 @@
 """Problem 8: figures on the quality of a text, by which natural prose is told from lists, tables and junk.
 
-Every text is cut into segments (lines, and sentences within lines).  A segment is judged by its words and symbols and
-by its layout: vertical alignment of delimiters with the lines above and below, periodicity of indentation and opening
-marks, and autocorrelation of line lengths.  A logistic model of hashed features, fitted on hand labels of documents,
-weighs them; a document is prose if at least half of its characters lie in segments of prose.
+Every text is cut into segments (lines, and sentences within lines).  A logistic model, fitted on hand labels of
+documents, weighs the words and symbols of a segment, the layout of its line beside the next ones, and the figures of its
+block and of the whole text: vertical alignment of delimiters, periodicity of indentation and opening marks,
+autocorrelation of line lengths, each at its best lag, with the ratios of symbols, punctuated lines, word length and common
+words.  A document is prose if at least half of its characters lie in segments of prose.
 
 Defined results: a null or blank text has zero words, null ratios and no ``es_prosa``; rows with equal ids are judged
-one by one.  Without labels of both kinds a fixed rule on common words takes the model's place.
+one by one.  Without labels of both kinds a fixed rule on common words, symbols and the repetition of the block takes the
+model's place.  The layout figures of a text of more than ``prose.BATCH`` characters are the mean of its parts by lines.
 """
 
 from __future__ import annotations
@@ -60,12 +62,12 @@ def fit_model(documents: DataFrame, labels: DataFrame, common: frozenset[str], d
         .limit(docs)
         .collect()
     )
-    texts = [consistent(r.text, True) for r in sample]
+    texts = [consistent(r.text, layout=True) for r in sample]
     y = np.array([r.voto > 0.5 for r in sample], bool)
     if not len(y) or y.all() or not y.any():
         return Model(None, frozenset(), common)
     known = P.known_words(texts)
-    return Model(P.fit(P.Segments(texts, P.Lexicon(known)), y), known, common)
+    return Model(P.fit(P.Segments(texts, P.Lexicon(known, common)), y), known, common)
 
 
 def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -76,8 +78,8 @@ def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
     """The figures of a list of texts, none of them None."""
     n = len(texts)
-    total = np.zeros((15, n))
-    for part, own in P.batches([consistent(x, True) for x in texts]):
+    total = np.zeros((14, n))
+    for part, own in P.batches([consistent(x, layout=True) for x in texts]):
         s = P.Segments(part, lexicon)
         k = len(part)
         by = lambda x, d=s.doc, k=k: np.bincount(d, weights=x, minlength=k)[:k]
@@ -88,35 +90,23 @@ def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
             good = P.segment_scores(s, model.weights) > 0
         else:
             said, shared = s.sums(s.word.astype(float)), s.sums(s.common.astype(float))
-            good = (said >= 5) & (shared >= 0.15 * said) & (shared <= 0.75 * said)
+            aligned, opened, again, symbols, closed = s.laid_out()[:, :5].T  # of the block
+            repeated = (closed < 0.5) & ((aligned >= 0.6) | (opened >= 0.6) & (again >= 0.3))
+            good = (said >= 5) & (shared >= 0.15 * said) & (shared <= 0.75 * said) & (symbols < 0.25) & ~repeated
         fine = s.sums(chars * ~s.unword).astype(float) * good
-        line = s.lines()
-        m = int(line[-1]) + 1
-        size = np.bincount(line, weights=s.len * (s.body & ~s.blank), minlength=m)
-        filled = np.flatnonzero(size > 0)
-        doc = s.doc[np.searchsorted(line, filled)]
-        inner = np.flatnonzero(s.body & ~s.blank)
-        last = inner[np.searchsorted(line[inner], filled, side="right") - 1]
-        ended = s.closing[last].astype(float)
-        aligned, opened = s.alignment()
-        same = doc[1:] == doc[:-1]
-        x, y, d = size[filled][:-1][same], size[filled][1:][same], doc[1:][same]
+        _, doc, _, text = s.filled_lines()
         line_doc = lambda v, d=doc, k=k: np.bincount(d, weights=v, minlength=k)[:k]
-        pair = lambda v, d=d, k=k: np.bincount(d, weights=v, minlength=k)[:k]
         rows = (
             by(words), by(s.len * words), by(s.len * symbol), by(s.len * (s.body & ~s.blank)),
-            line_doc(np.ones(len(filled))), line_doc(ended),
+            line_doc(np.ones(len(doc))), line_doc(text[:, 4]),
             by(s.common), by(s.word),
             s.by_doc(fine, k), by(chars),
-            line_doc(aligned[filled]), line_doc(opened[filled]),
-            line_doc(size[filled]), line_doc(size[filled] ** 2), pair(x * y),
+            line_doc(text[:, 0]), line_doc(text[:, 1]),
+            line_doc(np.nan_to_num(text[:, 2])), line_doc(~np.isnan(text[:, 2])),
         )
         for i, v in enumerate(rows):
             np.add.at(total[i], own, v)
     t = total
-    mean = _ratio(t[12], t[4])
-    var = _ratio(t[13], t[4]) - mean**2
-    auto = _ratio(_ratio(t[14], t[4] - 1) - mean**2, np.where(var > 1e-9, var, 0))
     return pd.DataFrame(
         {
             "palabras": t[0].astype(np.int64),
@@ -126,7 +116,7 @@ def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
             "comunes": _ratio(t[6], t[7]),
             "alineadas": _ratio(t[10], t[4]),
             "periodicidad": _ratio(t[11], t[4]),
-            "autocorrelacion": np.clip(auto, -1, 1),
+            "autocorrelacion": _ratio(t[12], t[13]),
             "prosa": _ratio(t[8], t[9]),
         }
     )
