@@ -135,7 +135,7 @@ def body_terms_daily(spark, d):
 
 def body_ngrams_daily(spark, d):
     own = O.articles(read(spark, d, "noticias"), "cuerpo_limpio", "fecha").withColumnRenamed("cuerpo_limpio", "titulo")
-    return O.ngram_counts(O.article_ngrams(own), "fecha").where("n >= 2")
+    return O.ngram_counts(O.article_ngrams(own), "fecha")
 
 
 def clustered_top_terms(spark, d):
