@@ -87,7 +87,7 @@ def _actors(spark, d):
 
 
 def actor_net_tone(spark, d):
-    return S.actors(_actors(spark, d)).where("total >= 3")
+    return S.actors(_actors(spark, d))
 
 
 def actor_daily(spark, d):
