@@ -1,4 +1,4 @@
-"""Tokens, segments and layout figures of whole texts, computed for a batch of documents at once (problem 8).
+"""Tokens and segments of whole texts, computed for a batch of documents at once (problem 8).
 
 Everything here works on numpy arrays over all tokens of a batch: one regular expression finds the tokens, a dictionary
 turns each into a small class number, and the rest are vector operations, so the cost per character stays low and no
@@ -19,14 +19,6 @@ VOWELS = set("aeiouyáéíóúüàèìòùâêôãõäëïö")
 BUCKETS = 1 << 16
 END, DOC = 1, 2
 LONGEST_WORD = 40
-#: Lines are compared with those up to so many lines away, among the lines so near (the block), and in the whole text.
-LAGS = 8
-AROUND_LINES = 12
-#: Figures of a block, and as many of a text, that the model weighs: alignment, periodicity, autocorrelation, share of
-#: symbols, share of lines that end in punctuation, mean word length (in tens), and how far the share of common words
-#: is from that of prose: lists have too few, words that form no sentences often too many.
-LAYOUT = 7
-USUAL_COMMON = 0.43  # the median of prose in the large test input
 #: Texts are worked on in batches of about so many characters; a longer text in parts of whole lines.
 BATCH = 1 << 20
 #: Chunks that a lexicon keeps; beyond, it starts anew with the next batch.
@@ -57,7 +49,7 @@ class Lexicon(dict):
         self.token: dict[str, int] = {}
         self.flat = array("q")
         self.start = array("q", [0])
-        self.columns = [array("q") for _ in range(9)]
+        self.columns = [array("q") for _ in range(10)]
 
     def __missing__(self, chunk: str) -> int:
         for t in TOKEN.findall(chunk) if chunk else (" ",):  # an empty chunk stands between two blanks
@@ -75,7 +67,7 @@ class Lexicon(dict):
         c = t[0]
         return (
             self.classify(t), len(t), c.isalpha(), c.isdigit(), c.isspace() and c not in "\n", c in _SENTENCE_END, c in _CLOSING,
-            t.lower() in self.common, DELIMITERS.get(c, 0),
+            t.lower() in self.common, c.islower(), DELIMITERS.get(c, 0),
         )
 
     def classify(self, token: str) -> int:
@@ -121,8 +113,8 @@ class Segments:
         n = len(t)
         columns = [np.array(x) for x in lexicon.columns]
         self.cls, self.len = columns[0][t], columns[1][t]
-        self.word, self.digit, self.blank, self.stop, self.closing, self.common = (x.astype(bool)[t] for x in columns[2:8])
-        self.kind = columns[8][t]
+        self.word, self.digit, self.blank, self.stop, self.closing, self.common, self.lower = (x.astype(bool)[t] for x in columns[2:9])
+        self.kind = columns[9][t]
         doc_end = self.cls == DOC
         self.doc = np.cumsum(doc_end) - doc_end
         cut = (self.cls == END) | doc_end
@@ -162,144 +154,13 @@ class Segments:
         s = np.tile(self.seg, 3)
         keep = np.tile(self.body, 3)
         edge = ~self.body & same  # what stands before a line's end
-        layout, at = self.layout()
-        return np.concatenate([f[keep], mix(before2[edge], before[edge], c[edge]), layout]), np.concatenate([s[keep], self.seg[edge], at])
+        return np.concatenate([f[keep], mix(before2[edge], before[edge], c[edge])]), np.concatenate([s[keep], self.seg[edge]])
 
     def lines(self) -> np.ndarray:
         """The number of each token's line."""
         end = ~self.body
         return np.cumsum(end) - end
 
-    def neighbours(self) -> tuple[np.ndarray, ...]:
-        """For each line: how its delimiters, its opening and its length agree with the line above and below.
-
-        Vertical alignment: the delimiters are as many as those of the neighbour (3; 2 if neither has any; 1 if they
-        differ).  Periodicity: it opens with the same mark or indentation (2, else 1).  Autocorrelation: it is about
-        as long, in tokens, as the neighbour.  0 stands for no neighbour in the text.
-        """
-        if hasattr(self, "_near"):
-            return self._near
-        line = self.lines()
-        k = int(line[-1]) + 1 if len(line) else 0
-        lead = np.searchsorted(line, np.arange(k))
-        first = self.cls[lead]
-        size = np.bincount(line, weights=self.body, minlength=k)
-        doc = self.doc[lead]
-        marks = np.zeros(k, np.int64)
-        for at in DELIMITERS.values():
-            marks += np.minimum(np.bincount(line[self.kind == at], minlength=k), 7).astype(np.int64) << (3 * at)
-        filled = np.flatnonzero(np.bincount(line[self.body & ~self.blank], minlength=k))
-        agree = np.zeros((k, 2, 3), np.int64)
-        for side, (a, b) in enumerate(((filled[1:], filled[:-1]), (filled[:-1], filled[1:]))):
-            near = doc[a] == doc[b]
-            agree[a, side, 0] = np.where(near, np.where(marks[a] == marks[b], np.where(marks[a] > 0, 3, 2), 1), 0)
-            agree[a, side, 1] = np.where(near, 1 + (first[a] == first[b]), 0)
-            agree[a, side, 2] = np.where(near, 1 + (np.abs(size[a] - size[b]) <= 1) + 2 * (np.maximum(size[a], size[b]) > 12), 0)
-        self._near = agree, first, size
-        return self._near
-
-    def filled_lines(self) -> tuple[np.ndarray, ...]:
-        """(line, document, block figures, text figures) of each line that isn't blank, the figures as in ``LAYOUT``.
-
-        Alignment, periodicity and autocorrelation are those of the best lag: the share of lines with the same
-        delimiters (opening mark and indentation) as the line ``lag`` further on, and the autocorrelation of line
-        lengths.  A lag counts where there are two periods of it.  Autocorrelation is 1 for four lines or more of one
-        length, nan for fewer than two lines or two or three of one length.
-        """
-        if hasattr(self, "_filled"):
-            return self._filled
-        line = self.lines()
-        k = int(line[-1]) + 1 if len(line) else 0
-        inner = self.body & ~self.blank
-        words = self.word | self.digit
-        of = lambda x: np.bincount(line, weights=x, minlength=k)[filled]
-        filled = np.flatnonzero(np.bincount(line[inner], minlength=k))
-        n = len(filled)
-        at = np.flatnonzero(inner)
-        own = line[at]
-        head = at[np.searchsorted(own, filled)]
-        last = at[np.searchsorted(own, filled, side="right") - 1] if n else at
-        doc = self.doc[head]
-        indent = np.minimum(head - np.searchsorted(line, filled), 15)
-        opening = (self.cls[head] << 4) + indent
-        marks = np.zeros(n, np.int64)
-        for kind in DELIMITERS.values():
-            marks += np.minimum(of(self.kind == kind), 7).astype(np.int64) << (3 * kind)
-        chars = of(self.len * inner)
-        ratios = (
-            (of(self.len * (inner & ~words)), chars), (self.closing[last].astype(float), np.ones(n)),
-            (of(self.len * words) / 10, of(words)), (of(self.common), of(self.word)),
-        )
-        i = np.arange(n)
-        start, end = np.searchsorted(doc, doc), np.searchsorted(doc, doc, side="right")
-        whole = []
-        for lo, hi in ((np.maximum(i - AROUND_LINES, start), np.minimum(i + AROUND_LINES + 1, end)), (start, end)):
-            out = np.zeros((n, LAYOUT))
-            out[:, :3] = _repetition(doc, marks, opening, chars, lo, hi)
-            for j, (a, b) in enumerate(ratios, 3):
-                out[:, j] = _within(a, lo, hi) / np.maximum(_within(b, lo, hi), 1e-9)
-            out[:, 6] = 2 * np.abs(out[:, 6] - USUAL_COMMON)
-            whole.append(out)
-        self._filled = filled, doc, *whole
-        return self._filled
-
-    def laid_out(self) -> np.ndarray:
-        """(segment, figure): the figures of the block and of the text around each segment, 0 where there are none."""
-        out = np.zeros((len(self.starts), 2 * LAYOUT))
-        filled, _, block, text = self.filled_lines()
-        if len(filled):
-            line = self.lines()[self.starts]
-            at = np.minimum(np.searchsorted(filled, line), len(filled) - 1)
-            hit = filled[at] == line
-            out[hit] = np.nan_to_num(np.hstack([block, text])[at[hit]])
-        return out
-
-    def layout(self) -> tuple[np.ndarray, np.ndarray]:
-        """(bucket, segment): the layout of a segment's line as features."""
-        if not len(self.starts):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        agree, first, size = self.neighbours()
-        at = self.lines()[self.starts]
-        size = np.minimum(np.log2(size + 1), 8).astype(np.int64)
-        f = [
-            _mixed((agree[at, 0, 0], agree[at, 1, 0], size[at])),
-            _mixed((agree[at, 0, 1], agree[at, 1, 1], first[at])),
-            _mixed((agree[at, 0, 1] + 7, agree[at, 1, 1], size[at])),
-            _mixed((agree[at, 0, 2] + 50, agree[at, 1, 2], size[at])),
-        ]
-        seg = np.arange(len(self.starts))
-        return np.concatenate(f), np.tile(seg, len(f))
-
-
-def _within(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Sums of ``x`` over lo <= i < hi."""
-    total = np.concatenate([[0.0], np.cumsum(x, dtype=float)])
-    return total[hi] - total[lo]
-
-
-def _repetition(doc: np.ndarray, marks: np.ndarray, opening: np.ndarray, size: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """(line, 3): alignment, periodicity and autocorrelation of the lines lo <= i < hi, each at its best lag."""
-    n, count = len(doc), hi - lo
-    out = np.zeros((n, 3))
-    mean = _within(size, lo, hi) / np.maximum(count, 1)
-    var = _within(size * size, lo, hi) - count * mean * mean
-    varied = var > 1e-6 * np.maximum(count * mean * mean, 1)
-    out[:, 2] = np.where(count < 2, np.nan, np.where(varied, -1.0, np.where(count >= 4, 1.0, np.nan)))
-    for lag in range(1, LAGS + 1):
-        if n <= lag:
-            break
-        same = doc[lag:] == doc[:-lag]
-        x, y = size[:-lag] * same, size[lag:] * same
-        a = np.minimum(lo, n - lag)
-        b = np.clip(hi - lag, a, n - lag)
-        pairs = b - a
-        fit = count >= 2 * lag
-        for j, hit in enumerate((same & (marks[lag:] == marks[:-lag]) & (marks[lag:] > 0), same & (opening[lag:] == opening[:-lag]))):
-            out[:, j] = np.maximum(out[:, j], np.where(fit, _within(hit, a, b) / np.maximum(pairs, 1), 0))
-        cov = _within(x * y, a, b) - mean * _within(x + y, a, b) + pairs * mean * mean
-        out[:, 2] = np.where(fit & varied, np.maximum(out[:, 2], np.clip(cov / np.where(varied, var, 1), -1, 1)), out[:, 2])
-    return out
-
 
 def _mixed(xs: tuple[np.ndarray, ...]) -> np.ndarray:
     h = np.full(len(xs[0]), 0x9E3779B97F4A7C15 + len(xs), np.uint64)
@@ -314,10 +175,9 @@ AROUND = 0.8
 
 
 def segment_scores(s: Segments, weights: np.ndarray) -> np.ndarray:
-    """Log odds of prose for each segment.  ``weights`` has a weight for each bucket, for each figure of the block and
-    of the text, then the intercept."""
+    """Log odds of sentences for each segment.  ``weights`` has a weight for each bucket, then the intercept."""
     f, seg = s.features()
-    own = scores(f, seg, s.laid_out(), weights)
+    own = scores(f, seg, len(s.starts), weights)
     # a segment is read with the ones around it: half of its score is that of its neighbours in the text
     size = np.sqrt(s.sums(s.len * s.body))
     near = np.zeros(len(own))
@@ -331,35 +191,35 @@ def segment_scores(s: Segments, weights: np.ndarray) -> np.ndarray:
     return own + AROUND * near / mass
 
 
-def scores(f: np.ndarray, seg: np.ndarray, figures: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    k = len(figures)
+def scores(f: np.ndarray, seg: np.ndarray, k: int, weights: np.ndarray) -> np.ndarray:
     total = np.bincount(seg, weights=weights[f], minlength=k)
     count = np.bincount(seg, minlength=k)
-    return weights[-1] + total / np.sqrt(np.maximum(count, 1)) + figures @ weights[BUCKETS:-1]
+    return weights[-1] + total / np.sqrt(np.maximum(count, 1))
 
 
-def fit(s: Segments, prose: np.ndarray, steps: int = 40, rate: float = 0.15, decay: float = 3e-4) -> np.ndarray:
-    """Weights of a logistic model of segments from labels of documents.
+def fit(s: Segments, prose: np.ndarray, out: np.ndarray, steps: int = 40, rate: float = 0.15, decay: float = 3e-4) -> np.ndarray | None:
+    """Weights of a logistic model of segments from labels of documents.  Segments marked ``out`` (those of tables and
+    lists) are left out; None if what is left is of one kind.
 
-    Each document counts alike, shared among its segments by characters, and both classes count alike.
+    Each document counts alike, shared among its segments by characters.
     """
     f, seg = s.features()
-    laid = s.laid_out()
     k = len(s.starts)
-    chars = s.sums((s.len + 1) * (s.body & ~s.blank)).astype(float)
-    each = s.by_doc(chars, len(prose))
+    chars = s.sums((s.len + 1) * (s.body & ~s.blank)) * ~out.astype(bool)
+    each = s.by_doc(chars.astype(float), len(prose))
     share = chars / np.maximum(each, 1)[s.doc_of_seg]
-    n1 = max(1, int(prose.sum()))
-    n0 = max(1, len(prose) - n1)
     y = prose[s.doc_of_seg].astype(float)
-    gain = share * np.where(y > 0, 0.5 / n1, 0.5 / n0)
+    n1, n0 = (share * y).sum(), (share * (1 - y)).sum()
+    if not n1 or not n0:
+        return None
+    gain = share / (n1 + n0)  # as the labels have them: with both kinds alike, a few wrong labels would weigh as much as all right ones
     norm = 1 / np.sqrt(np.maximum(np.bincount(seg, minlength=k), 1))
-    w = np.zeros(BUCKETS + 2 * LAYOUT + 1)
+    w = np.zeros(BUCKETS + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for i in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(scores(f, seg, laid, w), -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(scores(f, seg, k, w), -30, 30)))
         d = gain * (p - y)
-        g = np.concatenate([np.bincount(f, weights=(d * norm)[seg], minlength=BUCKETS), d @ laid, [d.sum()]])
+        g = np.append(np.bincount(f, weights=(d * norm)[seg], minlength=BUCKETS), d.sum())
         g[:-1] += decay * w[:-1] / BUCKETS
         m = 0.9 * m + 0.1 * g
         v = 0.98 * v + 0.02 * g * g

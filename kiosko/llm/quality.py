@@ -1,14 +1,16 @@
 """Problem 8: figures on the quality of a text, by which natural prose is told from lists, tables and junk.
 
-Every text is cut into segments (lines, and sentences within lines).  A logistic model, fitted on hand labels of
-documents, weighs the words and symbols of a segment, the layout of its line beside the next ones, and the figures of its
-block and of the whole text: vertical alignment of delimiters, periodicity of indentation and opening marks,
-autocorrelation of line lengths, each at its best lag, with the ratios of symbols, punctuated lines, word length and common
-words.  A document is prose if at least half of its characters lie in segments of prose.
+1. The detector of ``layout`` marks the spans of tables and lists, from the vertical alignment of delimiters, the
+   periodicity of indentation and list marks and the autocorrelation of line lengths over the lags 1 to 8, combined with
+   the ratios of symbols, punctuation and words.  What it marks is no prose, whatever its words are.
+2. What is left is cut into sentences; a logistic model of their words' classes and order, fitted on what the detector
+   left of the labelled documents, tells sentences from strings without meaning and words that form no sentences.
+
+A document is prose if at least half of its characters lie outside of the spans and in sentences.
 
 Defined results: a null or blank text has zero words, null ratios and no ``es_prosa``; rows with equal ids are judged
-one by one.  Without labels of both kinds a fixed rule on common words, symbols and the repetition of the block takes the
-model's place.  The layout figures of a text of more than ``prose.BATCH`` characters are the mean of its parts by lines.
+one by one.  Without labels of both kinds fixed rules on layout, common words and symbols take the models' places.  The
+layout figures of a text of more than ``prose.BATCH`` characters are the mean of its parts by lines.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiosko.llm import layout as L
 from kiosko.llm import prose as P
 from kiosko.llm.consistent import consistent
 
@@ -30,15 +33,40 @@ SAMPLE_CHARS = 20_000
 
 FIGURES = (
     "palabras bigint, largo_medio double, simbolos double, lineas_puntuadas double, comunes double, "
-    "alineadas double, periodicidad double, autocorrelacion double, prosa double"
+    "alineadas double, periodicidad double, autocorrelacion double, marcada double, prosa double"
 )
 
 
 class Model:
-    """What is broadcast: at most ``prose.BUCKETS`` weights, the known words and the common words."""
+    """What is broadcast: the detector's some hundred numbers, at most ``prose.BUCKETS`` weights, the known words and the
+    common words.  A part that is None is replaced by its fixed rule."""
+
+    def __init__(self, detector: L.Detector | None, weights: np.ndarray | None, known: frozenset[str], common: frozenset[str]):
+        self.detector, self.weights, self.known, self.common = detector, weights, known, common
+
+
+def spans(s: P.Segments, lines: L.Lines, model: Model) -> np.ndarray:
+    """Which segments lie in a table or list."""
+    if model.detector is not None:
+        marked = model.detector.marked(lines)
+    else:
+        figure = {name: lines.block[:, j] for j, name in enumerate(L.BLOCK + L.LINE)}
+        one = lambda block, own: (figure[block] >= 0.6) & (figure[own] > 0)
+        aligned = one("marcas", "marcas_propias") | one("orden", "orden_propio") | one("columna", "columna_propia")
+        listed = one("apertura", "apertura_propia") & (figure["autocorrelacion"] >= 0.3)
+        marked = lines.many & (figure["cerradas"] < 0.5) & (aligned | listed)
+    by_line = np.zeros(int(s.lines()[-1]) + 1 if len(s.cls) else 0, bool)
+    by_line[lines.at] = marked
+    return by_line[s.lines()[s.starts]]
 
-    def __init__(self, weights: np.ndarray | None, known: frozenset[str], common: frozenset[str]):
-        self.weights, self.known, self.common = weights, known, common
+
+def sentences(s: P.Segments, model: Model) -> np.ndarray:
+    """Which segments are sentences."""
+    if model.weights is not None:
+        return P.segment_scores(s, model.weights) > 0
+    said, shared = s.sums(s.word.astype(float)), s.sums(s.common.astype(float))
+    chars, symbols = s.sums(s.len * (s.body & ~s.blank)), s.sums(s.len * (s.body & ~s.blank & ~s.word & ~s.digit))
+    return (said >= 5) & (shared >= 0.15 * said) & (shared <= 0.75 * said) & (symbols < 0.25 * chars)
 
 
 def fit_model(documents: DataFrame, labels: DataFrame, common: frozenset[str], docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Model:
@@ -65,9 +93,18 @@ def fit_model(documents: DataFrame, labels: DataFrame, common: frozenset[str], d
     texts = [consistent(r.text, layout=True) for r in sample]
     y = np.array([r.voto > 0.5 for r in sample], bool)
     if not len(y) or y.all() or not y.any():
-        return Model(None, frozenset(), common)
+        return Model(None, None, frozenset(), common)
+    return fitted(texts, y, common)
+
+
+def fitted(texts: list[str], prose: np.ndarray, common: frozenset[str]) -> Model:
+    """Both models from texts and their labels: the detector first, the sentences from what it leaves."""
     known = P.known_words(texts)
-    return Model(P.fit(P.Segments(texts, P.Lexicon(known, common)), y), known, common)
+    s = P.Segments(texts, P.Lexicon(known, common))
+    lines = L.Lines(s)
+    model = Model(L.fit_detector(lines, prose), None, known, common)
+    model.weights = P.fit(s, prose, spans(s, lines, model))
+    return model
 
 
 def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -78,7 +115,7 @@ def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
     """The figures of a list of texts, none of them None."""
     n = len(texts)
-    total = np.zeros((14, n))
+    total = np.zeros((15, n))
     for part, own in P.batches([consistent(x, layout=True) for x in texts]):
         s = P.Segments(part, lexicon)
         k = len(part)
@@ -86,23 +123,19 @@ def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
         words = s.word | s.digit
         symbol = s.body & ~words & ~s.blank
         chars = (s.len + 1) * (s.body & ~s.blank)
-        if model.weights is not None:
-            good = P.segment_scores(s, model.weights) > 0
-        else:
-            said, shared = s.sums(s.word.astype(float)), s.sums(s.common.astype(float))
-            aligned, opened, again, symbols, closed = s.laid_out()[:, :5].T  # of the block
-            repeated = (closed < 0.5) & ((aligned >= 0.6) | (opened >= 0.6) & (again >= 0.3))
-            good = (said >= 5) & (shared >= 0.15 * said) & (shared <= 0.75 * said) & (symbols < 0.25) & ~repeated
-        fine = s.sums(chars * ~s.unword).astype(float) * good
-        _, doc, _, text = s.filled_lines()
-        line_doc = lambda v, d=doc, k=k: np.bincount(d, weights=v, minlength=k)[:k]
+        lines = L.Lines(s)
+        listed = spans(s, lines, model)
+        of_line = s.sums(chars).astype(float)
+        fine = s.sums(chars * ~s.unword).astype(float) * (sentences(s, model) & ~listed)
+        text = lines.text
         rows = (
             by(words), by(s.len * words), by(s.len * symbol), by(s.len * (s.body & ~s.blank)),
-            line_doc(np.ones(len(doc))), line_doc(text[:, 4]),
+            lines.by_doc(np.ones(len(lines.doc)), k), lines.by_doc(lines.closed, k),
             by(s.common), by(s.word),
             s.by_doc(fine, k), by(chars),
-            line_doc(text[:, 0]), line_doc(text[:, 1]),
-            line_doc(np.nan_to_num(text[:, 2])), line_doc(~np.isnan(text[:, 2])),
+            lines.by_doc(text[:, 0], k), lines.by_doc(text[:, 1], k),
+            lines.by_doc(np.nan_to_num(text[:, 2]), k), lines.by_doc(~np.isnan(text[:, 2]), k),
+            s.by_doc(of_line * listed, k),
         )
         for i, v in enumerate(rows):
             np.add.at(total[i], own, v)
@@ -117,6 +150,7 @@ def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
             "alineadas": _ratio(t[10], t[4]),
             "periodicidad": _ratio(t[11], t[4]),
             "autocorrelacion": _ratio(t[12], t[13]),
+            "marcada": _ratio(t[14], t[9]),
             "prosa": _ratio(t[8], t[9]),
         }
     )

@@ -2,11 +2,12 @@ import random
 
 import numpy as np
 
+from kiosko.llm import layout as L
 from kiosko.llm import prose as P
 from kiosko.llm import quality as Q
 
 COMMON = frozenset("el la los de en y que un una por con".split())
-RULE = Q.Model(None, frozenset(), COMMON)
+RULE = Q.Model(None, None, frozenset(), COMMON)
 
 
 def records(rng, n=10):
@@ -30,12 +31,23 @@ def test_gaps_stay_beside_unusual_characters():
     assert plain.alineadas == unusual.alineadas == 1
 
 
-def test_figures_weigh_in_the_score():
+def test_spans_are_marked_whatever_their_words():
     rng = random.Random(4)
-    s = P.Segments([records(rng), "Un vecino de la comuna habló con el consejo.\n" + "Nadie más quiso hablar en la plaza."], P.Lexicon())
-    weights = np.zeros(P.BUCKETS + 2 * P.LAYOUT + 1)
-    weights[P.BUCKETS] = -1  # alignment of the block, and nothing else
-    scores = P.segment_scores(s, weights)
-    assert (scores[s.doc_of_seg == 0] < 0).any() and (scores[s.doc_of_seg == 1] == 0).all()
-    y = np.array([False, True])
-    assert np.abs(P.fit(s, y)[P.BUCKETS : -1]).max() > 0.1
+    prose = ["Un vecino de la comuna habló con el consejo.\n" + "Nadie más quiso hablar en la plaza, por la lluvia del lunes.\n" * (1 + i % 3) + f"El alcalde {i} llegó tarde y no dijo nada." for i in range(60)]
+    tables = [records(rng, 6) for _ in range(60)]
+    s = P.Segments(prose + tables, P.Lexicon(common=COMMON))
+    lines = L.Lines(s)
+    y = np.arange(120) < 60
+    detector = L.fit_detector(lines, y)
+    marked = detector.marked(lines)
+    assert (marked == ~y[lines.doc]).mean() > 0.97
+    assert L.fit_detector(lines, np.ones(120, bool)) is None
+    model = Q.Model(detector, np.append(np.zeros(P.BUCKETS), 1.0), frozenset(), COMMON)  # every segment is a sentence
+    f = Q.figures([records(rng), prose[2]], model, P.Lexicon(common=COMMON))
+    assert f.prosa[0] < 0.5 < f.prosa[1] and f.marcada[0] > 0.5
+
+
+def test_columns_align_at_a_lag():
+    text = "\n".join(f"{'nombre' if i % 2 else 'apellido'}{' ' * (i % 2 * 2)}  | {'x' * (i * 7 % 5 + 1)}" for i in range(10))
+    lines = L.Lines(P.Segments([text], P.Lexicon()))
+    assert (lines.block[:, L.BLOCK.index("columna")] == 1).all()
