@@ -2,7 +2,8 @@
 
 Leaves hold the partial aggregate of each period, every node the aggregate of its subtree.  A finger on the last leaf
 makes inserts near the end of time cheap; a late insert climbs from there only as far as it is late, and updates the
-partials of its ancestors, a logarithmic number.  A cut-off drops whole subtrees.
+partials of its ancestors, a logarithmic number.  The tree knows the mark of event time: a cut-off behind it drops whole
+subtrees, and what is offered to the tree is answered with the state of its period.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Iterator
 Partial = tuple[int, float | None, float | None, float | None]
 NONE: Partial = (0, None, None, None)
 WIDTH = 8
+#: States of a period: at or after the mark; before it, yet to be corrected; before the cut-off.
+NEWEST, OPEN, CLOSED = "newest", "open", "closed"
 
 
 def combined(a: Partial, b: Partial) -> Partial:
@@ -42,9 +45,30 @@ class _Node:
 
 
 class FingerTree:
-    def __init__(self) -> None:
+    """``keep`` keeps the last aggregate of the periods that were dropped, to answer late offers with it."""
+
+    def __init__(self, keep: bool = True) -> None:
         self.root = _Node([], [])
         self.finger = self.root  # the last leaf
+        self.mark = self.cut = None
+        self.closed: dict | None = {} if keep else None
+
+    def advance(self, mark, lateness) -> list[tuple[object, Partial]]:
+        """Moves the mark forward, and the cut-off to ``lateness`` behind it; the periods that this closes, in order."""
+        if mark is None or self.mark is not None and mark <= self.mark:
+            return []
+        self.mark, self.cut = mark, mark - lateness
+        gone = list(self.evict(self.cut))
+        if self.closed is not None:
+            self.closed.update(gone)
+        return gone
+
+    def offer(self, time, part: Partial) -> tuple[str, Partial, Partial]:
+        """(state of the period, its aggregate before, after): a closed period takes nothing."""
+        if self.cut is not None and time < self.cut:
+            last = (self.closed or {}).get(time, NONE)
+            return CLOSED, last, last
+        return OPEN if self.mark is not None and time < self.mark else NEWEST, *self.insert(time, part)
 
     def insert(self, time, part: Partial) -> tuple[Partial, Partial]:
         """Adds a partial to a period; its aggregate before and after."""

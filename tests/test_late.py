@@ -1,9 +1,10 @@
 import datetime
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kiosko.streaming import late
 from kiosko.streaming.fingertree import NONE, FingerTree, combined
@@ -79,24 +80,63 @@ def test_late_articles(spark):
     assert late.late_articles(df.limit(0)).count() == 0
 
 
-def test_stream(spark, tmp_path):
+def streamed(spark, folder, batches, **how):
+    """The last row of each (key, period) after all micro-batches."""
     schema = "k string, e date, a date, v double"
-    batches = [[("x", day(0), day(0), 1.0), ("x", day(20), day(20), 2.0)], [("x", day(15), day(21), 4.0), ("x", day(2), day(21), 9.0), (None, day(1), day(1), 0.0)]]
-    source = tmp_path / "in"
-    seen = defaultdict(list)
+    last, seen = {}, []
 
     def sink(df, _):
         for r in df.collect():
-            seen[r.fecha].append((r.n, r.suma, r.cerrada))
-
-    for i, b in enumerate(batches):
-        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(source))
-        from pyspark.sql import functions as F
-
-        stream = spark.readStream.schema(schema).parquet(str(source))
-        out = late.corrected_stream(stream, "e", F.col("a"), "k", "v")
-        q = out.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "ck")).foreachBatch(sink).trigger(availableNow=True).start()
-        q.awaitTermination()
-        assert i or seen[day(0)] == [(1, 1.0, True)]
-    assert seen[day(15)] == [(1, 4.0, False)]
-    assert day(2) not in seen
+            last[r.key, r.fecha] = (r.n, r.suma)
+            seen.append((r.key, r.fecha, r.n, r.cerrada))
+
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        out = late.corrected_stream(stream, "e", F.col("a"), "k", "v", **how)
+        out.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/ck").foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
+    return last, seen
+
+
+def test_stream_closes_periods(spark, tmp_path):
+    batches = [[("x", day(0), day(0), 1.0), ("x", day(20), day(20), 2.0)], [("x", day(15), day(21), 4.0), ("x", day(2), day(21), 9.0), (None, day(1), day(1), 0.0)]]
+    last, seen = streamed(spark, tmp_path, batches)
+    assert last == {("x", day(0)): (1, 1.0), ("x", day(20)): (1, 2.0), ("x", day(15)): (1, 4.0)}
+    assert ("x", day(0), 1, True) in seen and ("x", day(15), 1, False) in seen
+
+
+def test_stream_is_the_same_for_other_micro_batches(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [("x", day(0), day(0), 1.0), ("x", day(30), day(30), 1.0), ("x", day(2), day(31), 1.0), ("x", day(2), day(32), 1.0)]
+    for _ in range(150):
+        a = rng.randint(0, 40)
+        rows.append((rng.choice("xy"), day(a - int(rng.expovariate(0.15)) + 3 * (rng.random() < 0.05)), day(a), float(rng.randint(1, 5))))
+    rows.sort(key=lambda r: r[2])
+    df = spark.createDataFrame(rows, "k string, e date, a date, v double")
+    want = {}
+    for r in late.corrections(df, "e", "a", ["k"], "v").where("efecto <> 'excluida'").collect():
+        want[r.k, r.fecha] = max(want.get((r.k, r.fecha), (0, 0.0)), (r.despues, r.suma))
+    for i, cuts in enumerate(([len(rows)], [60, len(rows)], [20, 50, 51, 90, len(rows)])):
+        batches = [rows[a:b] for a, b in zip([0, *cuts], cuts)]
+        assert streamed(spark, tmp_path / str(i), batches)[0] == want
+
+
+def test_hours(spark):
+    hour = lambda n: datetime.datetime(2026, 1, 1) + datetime.timedelta(hours=n, minutes=n % 7)
+    rows = [(hour(0), hour(0)), (hour(5), hour(5)), (hour(4), hour(6)), (hour(1), hour(6)), (hour(9), hour(6))]
+    df = spark.createDataFrame(rows, "e timestamp, a timestamp")
+    got = {r.fecha.hour: r.efecto for r in late.corrections(df, "e", "a", lateness=2, period="hour").collect()}
+    assert got == {0: "en_plazo", 5: "en_plazo", 4: "corrige", 1: "excluida", 9: "adelantada"}
+
+
+def test_a_hot_pair_of_days(spark, monkeypatch):
+    from kiosko.plans import common
+
+    rows = [(f"i{n}", day(30), day(30)) for n in range(5)] + [(f"h{n}", day(25), day(31)) for n in range(300)] + [(f"o{n}", day(n), day(31)) for n in range(10)]
+    df = spark.createDataFrame(rows, "id string, fecha date, fecha_scraping date").withColumn("created_at", F.lit(None).cast("timestamp"))
+    want = {tuple(r) for r in late.late_articles(df).collect()}
+    assert len(want) == 310
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(common, "HOT_ROWS", 100)
+    got = [tuple(r) for r in late.late_articles(df).collect()]
+    assert set(got) == want and len(got) == 310
