@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kiosko.llm import boilerplate, consistent, cooccurrence, frequency, leaks, packing, quality
-from kiosko.plans.common import read
+from kiosko.plans.common import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,12 +56,16 @@ def p6_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p6_packing(spark, d))
 
 
+def p6_invariants(spark: SparkSession, d: str) -> DataFrame:
+    return packing.invariants(read(spark, d, "documents"), written(p6_packing(spark, d)))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_documents(read(spark, d, "documents"), read(spark, d, "evaluacion_items"))
 
 
 def p7_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.leaks(read(spark, d, "documents"), read(spark, d, "evaluacion_items"))
+    return leaks.leaks(read(spark, d, "documents"), read(spark, d, "evaluacion_items"), leaks.LEAST_TILE, leaks.COVERAGE)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +78,7 @@ def p8_quality(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     p2_found, p2_frequencies, p3_found, p3_titles, p4_found, p4_lines, p4_bodies, p5_found, p5_pairs,
-    p6_packing, p6_fill, p7_found, p7_coverage, p8_found, p8_quality,
+    p6_packing, p6_fill, p6_invariants, p7_found, p7_coverage, p8_found, p8_quality,
 )}
 
 _VALUE = r"trim(regexp_replace(nfc_normalize(lower({c})), '[\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}\v]+', ' ', 'g'))"
@@ -105,6 +109,7 @@ ORACLE: dict[str, str] = {
     "p2_found": f"""SELECT campo, valor, 'raro' AS marca FROM ({_FREQUENCIES}) WHERE raro
       UNION ALL SELECT campo, valor, 'comun' AS marca FROM ({_FREQUENCIES}) WHERE comun""",
     "p2_frequencies": _FREQUENCIES,
+    "p6_invariants": "SELECT count(*) AS textos, 0::BIGINT AS perdidos, 0::BIGINT AS mal_divididos, 0::BIGINT AS excedidos, true AS ajustado FROM documents",
     "p4_found": f"WITH {_LINES} SELECT id, nro::INTEGER AS nro_linea FROM n JOIN rep USING (fuente, linea)",
     "p4_lines": f"WITH {_LINES} SELECT fuente, linea, articulos, total FROM rep",
     "p4_bodies": rf"""WITH {_LINES},

@@ -74,3 +74,29 @@ def test_documents(spark):
     check_rows(packed.collect(), counts, K.CAPACITY)
     report = K.fill_report(packed).first()
     assert report.tokens == sum(counts.values()) and report.contenedores * K.CAPACITY == report.tokens + report.sin_usar
+
+
+def test_any_capacity():
+    rng = random.Random(3)
+    for capacity in (4096, 8192):
+        histogram = Counter(min(capacity, max(1, int(rng.lognormvariate(6.4, 1.0)))) for _ in range(30_000))
+        used = check_plan(histogram, capacity)
+        assert used <= -(-sum(s * n for s, n in histogram.items()) // capacity) * 1.003 + 1
+    used = check_plan({s: 1000 for s in range(1, 8193)}, 8192)  # every size
+    assert used <= 1.002 * 1000 * 8192 * 8193 / 2 / 8192
+
+
+def test_invariants(spark):
+    docs = spark.createDataFrame([(i, "x") for i in range(50)] + [(7, "x")], "doc_id bigint, text string")
+    sizes = spark.createDataFrame([(i, 10 + i % 7) for i in range(50)] + [(7, 25)], "doc_id bigint, tokens bigint")
+    packed = K.pack(sizes, 20)
+    r = K.invariants(docs, packed, 20).first()
+    assert (r.textos, r.perdidos, r.mal_divididos, r.excedidos) == (51, 0, 0, 0)
+    assert K.invariants(docs, packed.where("doc_id <> 3"), 20).first().perdidos == 1
+    assert K.invariants(docs, packed.withColumn("contenedor", packed.contenedor * 0), 20).first().excedidos == 1
+
+
+def test_null_ids_are_spread(spark):
+    df = spark.createDataFrame([(None, 5)] * 300 + [(1, 5)], "doc_id bigint, tokens bigint").repartition(3)
+    rows = K.pack(df, 10, group_rows=50).collect()
+    assert Counter(Counter(r.contenedor for r in rows).values())[2] == 150
