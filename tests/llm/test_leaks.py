@@ -64,12 +64,14 @@ def test_reordered_passages_are_covered():
 
 
 def test_tiles_overlap_nothing():
-    index = L.Index([(1, "a b c a b c a b c a b c a b c")], least=3)
-    ids, _ = L.encode(["a b c a b c x a b c a b"], L.Chunks(index.number))
     import numpy as np
 
-    seeds = [(p, q) for p in range(len(ids) - 2) for q in range(13) if np.array_equal(ids[p : p + 3], index.items[0][q : q + 3])]
-    marked = L.tiles(ids, index.items[0], seeds, 3)
+    doc, item = np.array(list(b"abcabcxabcab")), np.array(list(b"abcabcabcabcabc"))
+    p, q = np.array([(p, q) for p in range(len(doc) - 2) for q in range(13) if (doc[p : p + 3] == item[q : q + 3]).all() and (p == 0 or q == 0 or doc[p - 1] != item[q - 1])]).T
+    n = L.lengths(doc, item, p, q, np.minimum(len(doc) - p, len(item) - q), 3)
+    for i, j, k in zip(p, q, n, strict=True):
+        assert (doc[i : i + k] == item[j : j + k]).all() and (i + k == len(doc) or j + k == len(item) or doc[i + k] != item[j + k])
+    marked = L.tiles(doc, item, p, q, n, 3)
     for side in (0, 1):
         used = [x + j for t in marked for x, j in [(t[side], j) for j in range(t[2])]]
         assert len(used) == len(set(used))
@@ -82,3 +84,29 @@ def test_a_very_long_text():
     index = L.Index([(1, " ".join(item))])
     text = " ".join([*words(rng, 1000) * 300, *item, *words(rng, 10)])
     assert [x[:2] for x in L.found([text, "nada"], index, L.Chunks(index.number))] == [(0, 0)]
+
+
+def test_a_phrase_that_both_repeat_gives_few_matches(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(L, "PAIRS", 1000)
+    index = L.Index([(1, "no " * 3000), (2, "uno " + "no " * 500 + "dos")])
+    text = "si " + "no " * 20_000 + "fin"
+    ids, ends = L.encode([text], L.Chunks(index.number))
+    assert {x[1]: x[3] for x in L.found([text], index, L.Chunks(index.number))} == {0: 3000, 1: 500}
+    whole = np.arange(1, 19_990)
+    h = L._hashes(ids, 12)[whole]
+    assert len(L._met(index, ids, ends, whole, h)[0]) < 60_000  # of 70 million pairs
+
+
+def test_short_passages_in_another_order(spark):
+    rng = random.Random(5)
+    item = words(rng, 64)
+    pieces = [item[i : i + 8] for i in range(0, 64, 8)]
+    rng.shuffle(pieces)
+    text = " ".join(w for p in pieces for w in [*p, "zz", "yy"])
+    docs = spark.createDataFrame([(1, text), (2, " ".join(pieces[0]))], "doc_id bigint, text string")
+    stated = spark.createDataFrame([(9, " ".join(item))], "item_id bigint, text string")
+    assert L.leaked_documents(docs, stated).count() == 0
+    (r,) = L.leaks(docs, stated, L.LEAST_TILE, L.COVERAGE).collect()
+    assert (r.doc_id, r.item_id) == (1, 9) and r.cobertura == 1.0
