@@ -27,16 +27,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiosko.plans.common import written
+from kiosko.plans.common import joined, written
 
 # Letters of other scripts and the Latin letter that looks the same.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХҮѴԚԜԌӀасеѕіјорухһԁԛԝӏүѵ", "ABESIJKMHOPCTYXYVQWGIacesijopyxhdqwlyv", strict=True))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳοανρυιγϲ", "ABEZHIKMNOPTYXCjoavpuiyc", strict=True))
+GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϺͿϳοανρυιγϲ", "ABEZHIKMNOPTYXCMJjoavpuiyc", strict=True))
 ARMENIAN = dict(zip("ՕՏՍԼօոսհցյզ", "OSULonuhgjq", strict=True))
-CHEROKEE = dict(zip("ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ", "ABCDEHJKLMPRSTVWZ", strict=True))
-LATIN = dict(zip("ɑɡɩꞮꓲ", "agiII", strict=True))
-
-SCRIPTS = {"Cyrillic": CYRILLIC, "Greek": GREEK, "Armenian": ARMENIAN, "Cherokee": CHEROKEE}
+CHEROKEE = dict(zip("ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃᎥᎩᏀᏂᏏᏒᏔᏕᏧᏳꭵꮃꮓꮩꮪꮯ", "ABCDEHJKLMPRSTVWZiYGhbRWSdGiwzvsc", strict=True))
+CANADIAN = dict(zip("ᐯᑌᑭᑯᑲᒍᒪᕁᕼᕽᖇᖯᖴᗅᗞᗪᗰᗷ", "VUPdbJLxHxRbFADDMB", strict=True))
+COPTIC = dict(zip("ⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⳐⲟⲣⲥ", "HIKMNOPCTYXLopc", strict=True))
+LISU = dict(zip("ꓐꓑꓒꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPdDTGKJCZFMNLSRVHWXYAEIOU", strict=True))
+LATIN = dict(zip("ɑɡɩꞮᴄᴏꜱᴜᴠᴡᴢ", "agiIcosuvwz", strict=True))
+# Punctuation and blanks, and the ordinary character that looks the same.
+MARKS = dict(zip("\u2010\u2212\u02d7\u02bc\ua78c\u2236\ua4fd\ua4f8\ua4f9\u2215\u2044\u2223\u01c0\u01c3\u2800", "---’'::.,//||! ", strict=True))
+
+SCRIPTS = {"Cyrillic": CYRILLIC, "Greek": GREEK, "Armenian": ARMENIAN, "Cherokee": CHEROKEE, "Canadian": CANADIAN, "Coptic": COPTIC, "Lisu": LISU}
 #: Latin letter -> the look-alike of each other script.
 BACK = {s: {v: k for k, v in reversed(list(t.items()))} for s, t in SCRIPTS.items()}
 TO_LATIN = {k: v for t in SCRIPTS.values() for k, v in t.items()}
@@ -57,6 +62,10 @@ _unstable_text = re.compile(UNSTABLE_TEXT)
 _token = re.compile(r"[^\W\d_](?:[^\W_]|[̀-ͯ])*")
 
 
+#: Articles of one spelling that a task pairs with as many of another.
+CHUNK = 2000
+
+
 @lru_cache(maxsize=1 << 16)
 def _script(ch: str) -> str:
     if ch < "ɐ":
@@ -68,6 +77,8 @@ def _script(ch: str) -> str:
 @lru_cache(maxsize=1 << 16)
 def _presented(ch: str) -> str:
     """The ordinary characters, decomposed, that a single character presents."""
+    if ch in MARKS:
+        return MARKS[ch]
     tag, _, rest = unicodedata.decomposition(ch).partition(" ")
     if tag in COMPAT and ch not in TO_LATIN:
         plain = "".join(chr(int(x, 16)) for x in rest.split())
@@ -124,7 +135,7 @@ def _spelled(token: str, script: str) -> str:
 
 
 def _resolve(token: str, around: str) -> str:
-    """The consistent spelling of a token in a text whose plain tokens are in the script ``around``."""
+    """The consistent spelling of a token in a text most of which the script ``around`` can spell."""
     letters = [c for c in token if c.isalpha()]
     if not letters:  # a numeral such as a superscript
         return token
@@ -136,10 +147,11 @@ def _resolve(token: str, around: str) -> str:
         if around in common:
             return _spelled(token, around)
         return _spelled(token, "Latin" if len(own) > 1 or own <= {"Latin"} else own.pop())
-    # no single script has all letters: the ambiguous ones follow the script of most of the fixed ones
+    # no script has all letters: those that several have are spelled in the surrounding script, for that leaves the
+    # fewest scripts; only where it lacks them in the script of most of the fixed ones
     fixed = Counter(s for c in letters for s in _scripts_of(c) if len(_scripts_of(c)) == 1)
-    script = min(fixed, key=lambda s: (-fixed[s], s != around, s)) if fixed else around
-    return "".join(_spelled(c, script) if c.isalpha() and script in _scripts_of(c) else c for c in token)
+    other = min(fixed, key=lambda s: (-fixed[s], s)) if fixed else around
+    return "".join(_spelled(c, around if around in own else other) if c.isalpha() and ((own := _scripts_of(c)) & {around, other}) else c for c in token)
 
 
 def consistent(text: str | None, lines: bool = False, layout: bool = False) -> str | None:
@@ -153,7 +165,8 @@ def consistent(text: str | None, lines: bool = False, layout: bool = False) -> s
     text = re.sub("ı(?=[̀-̔])", "i", text)  # a dotless i below an accent
     if not text.isascii() and any(_script(c) != "Latin" for c in set(text) if c.isalpha()):
         tokens = _token.findall(text)
-        seen = Counter(s for t in tokens for c in t if c.isalpha() and len(x := _scripts_of(c)) == 1 for s in x)
+        # the script that can spell most letters: the same for every disguise of a text
+        seen = Counter(s for t in tokens for c in t if c.isalpha() for s in _scripts_of(c))
         around = min(seen, key=lambda s: (-seen[s], s != "Latin", s)) if seen else "Latin"
         text = _token.sub(lambda m: m[0] if m[0].isascii() and around == "Latin" else _resolve(m[0], around), text)
     text = unicodedata.normalize("NFC", text)
@@ -170,8 +183,9 @@ def _consistent_udf(s: pd.Series) -> pd.Series:
 
 
 def consistent_column(col: Column) -> Column:
-    """``consistent`` of a column.  Only values that may change reach Python; the JVM passes all others by."""
-    unstable = col.rlike(UNSTABLE_TITLE)
+    """``consistent`` of a column.  All rows pass the Python stage, but only values that may change with their text: all
+    others are null there, and the JVM keeps them."""
+    unstable = col.rlike(f"[^ {_STABLE}]") | col.startswith(" ") | col.endswith(" ") | col.contains("  ")
     return F.when(unstable, _consistent_udf(F.when(unstable, col))).otherwise(col)
 
 
@@ -187,21 +201,36 @@ def consistent_titles(noticias: DataFrame) -> DataFrame:
     return articles(noticias, "titulo").withColumn("forma", consistent_column(F.col("titulo")))
 
 
+def _spelled_forms(own: DataFrame) -> DataFrame:
+    """(forma, titulo, n): the spellings of each form and their articles, as a table."""
+    return written(own.groupBy("forma", "titulo").agg(F.count("*").alias("n")))
+
+
+def lookalike_classes(noticias: DataFrame) -> DataFrame:
+    """(id, clase, grafias, enlaces) of every article with a non-blank title: its class is the least id of the articles
+    whose titles read the same, ``grafias`` the number of different strings in the class, ``enlaces`` the number of its
+    articles whose string is another than this one's.  One row an article, however many copies there are."""
+    own = written(consistent_titles(noticias).where(F.col("forma") != ""))
+    spelled = own.groupBy("forma", "titulo").agg(F.count("*").alias("n"), F.min("id").alias("clase"))
+    forms = spelled.groupBy("forma").agg(F.min("clase").alias("clase"), F.count("*").alias("grafias"), F.sum("n").alias("todos"))
+    by_title = written(spelled.drop("clase").join(forms, "forma").select("titulo", "n", "clase", "grafias", (F.col("todos") - F.col("n")).alias("enlaces")))
+    return joined(own.select("id", "titulo"), by_title, ["titulo"], "n").select("id", "clase", "grafias", "enlaces")
+
+
 def lookalike_pairs(noticias: DataFrame) -> DataFrame:
     """(id_a, id_b), id_a < id_b: articles with non-blank titles of one consistent form but different strings.
 
-    Only forms written in two ways or more go on.  Their *spellings* are paired, then each spelling's articles are
-    joined to the pairs, so equal strings are never compared with one another.
+    Only forms written in two ways or more go on.  Their *spellings* are paired, and the articles of a spelling are parted
+    into chunks of about ``CHUNK``; each pair of chunks meets by itself, so no title is a hot key, and equal strings are
+    never compared with one another.  ``lookalike_classes`` says the same in one row an article.
     """
-    own = written(consistent_titles(noticias).where(F.col("forma") != ""))  # once, for it is read four times
-    several = own.groupBy("forma").agg(F.min("titulo").alias("lo"), F.max("titulo").alias("hi")).where("lo <> hi").select("forma")
-    own = own.join(several, "forma", "left_semi")
-    spelled = own.select("forma", "titulo").distinct()
-    a, b = spelled.withColumnRenamed("titulo", "t_a"), spelled.withColumnRenamed("titulo", "t_b")
-    pairs = a.join(b, "forma").where("t_a < t_b").select("t_a", "t_b")
-    ids = own.select("id", "titulo")
-    return (
-        pairs.join(ids.select(F.col("id").alias("x"), F.col("titulo").alias("t_a")), "t_a")
-        .join(ids.select(F.col("id").alias("y"), F.col("titulo").alias("t_b")), "t_b")
-        .select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-    )
+    own = written(consistent_titles(noticias).where(F.col("forma") != ""))  # once, for it is read several times
+    several = own.groupBy("forma").agg(F.min("titulo").alias("lo"), F.max("titulo").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    own = written(joined(own, written(several.select("forma", "n")), ["forma"], "n").select("forma", "titulo", "id"))
+    spelled = _spelled_forms(own).withColumn("k", F.ceil(F.col("n") / CHUNK).cast("int"))
+    ids = joined(own.select("titulo", "id"), spelled.select("titulo", "n", "k"), ["titulo"], "n").select("titulo", F.pmod(F.xxhash64("id"), "k").cast("int").alias("c"), "id")
+    side = lambda x: spelled.select("forma", F.col("titulo").alias(f"t_{x}"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias(f"c_{x}"))
+    pairs = written(side("a").join(side("b"), "forma").where("t_a < t_b").drop("forma"))
+    keys = ["t_a", "c_a", "t_b", "c_b"]
+    one = lambda x: pairs.join(ids.select(F.col("titulo").alias(f"t_{x}"), F.col("c").alias(f"c_{x}"), F.col("id").alias(f"id_{x}")), [f"t_{x}", f"c_{x}"]).select(*keys, f"id_{x}")
+    return one("a").join(one("b"), keys).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))

@@ -28,6 +28,10 @@ def p3_titles(spark: SparkSession, d: str) -> DataFrame:
     return consistent.consistent_titles(read(spark, d, "noticias"))
 
 
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    return consistent.lookalike_classes(read(spark, d, "noticias"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.repeated_places(read(spark, d, "noticias"))
 
@@ -77,7 +81,7 @@ def p8_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    p2_found, p2_frequencies, p3_found, p3_titles, p4_found, p4_lines, p4_bodies, p5_found, p5_pairs,
+    p2_found, p2_frequencies, p3_found, p3_titles, p3_classes, p4_found, p4_lines, p4_bodies, p5_found, p5_pairs,
     p6_packing, p6_fill, p6_invariants, p7_found, p7_coverage, p8_found, p8_quality,
 )}
 

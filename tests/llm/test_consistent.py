@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kiosko.llm import consistent as C
+from kiosko.plans import common
 
 
 def test_same_look():
@@ -33,6 +34,19 @@ def test_visible_differences_stay():
     assert len({C.consistent(t) for t in titles}) == len(titles)
 
 
+def test_letters_and_marks_of_many_blocks():
+    for x, want in (
+        ("ꓡota", "Lota"), ("ᴄobre", "cobre"), ("ꮯasa", "casa"), ("ⲟla", "ola"), ("a\u2010b", "a-b"), ("3\u22122", "3-2"), ("d\u02bcor", "d’or"), ("10\u223630", "10:30"), ("a\u2800b", "a b"),
+    ):
+        assert C.consistent(x) == want, x
+
+
+def test_a_token_that_no_script_has_keeps_the_letters_of_its_surroundings():
+    assert C.consistent("κilo de pan") == "κilo de pan"
+    assert C.consistent("κіlо de pan") == "κilo de pan"  # Cyrillic і and о
+    assert C.consistent("он κилo") == C.consistent("он κило")
+
+
 def test_joiners_stay_where_they_shape_letters():
     assert C.consistent("می‌خواهم") == "می‌خواهم"
     assert C.consistent("ro‌bo") == "robo"
@@ -60,7 +74,7 @@ def test_disguises_are_found(x, rng):
     assert C.consistent(disguised.replace(" ", " ")) == plain
 
 
-def test_pairs_against_brute_force(spark):
+def test_pairs_against_brute_force(spark, monkeypatch):
     base = ["Robo en Lota", "Rоbo en Lota", "Robo en Lota", "ROBO EN LOTA", "Otra cosa", "", None, "​"]
     rows = [(f"id{i:03d}", base[i % len(base)], "extra", 1) for i in range(120)] + [("id000", base[0], "extra", 1), (None, base[1], "x", 1)]
     df = spark.createDataFrame(rows, "id string, titulo string, forma string, lo int")
@@ -72,3 +86,12 @@ def test_pairs_against_brute_force(spark):
     assert C.lookalike_pairs(df.limit(0)).count() == 0
     titles = {r.id: r.forma for r in C.consistent_titles(df).collect()}
     assert titles == form
+    monkeypatch.setattr(C, "CHUNK", 3)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(common, "HOT_ROWS", 25)
+    again = [tuple(r) for r in C.lookalike_pairs(df).collect()]
+    assert len(again) == len(set(again)) and set(again) == want
+    classes = {r.id: (r.clase, r.grafias, r.enlaces) for r in C.lookalike_classes(df).collect()}
+    alike = {i: [j for j in own if form[i] and form[j] == form[i]] for i in own}
+    assert classes == {i: (min(js), len({own[j] for j in js}), sum(own[j] != own[i] for j in js)) for i, js in alike.items() if js}
+    assert C.lookalike_classes(df.limit(0)).count() == 0
