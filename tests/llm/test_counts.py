@@ -9,6 +9,7 @@ from itertools import combinations
 import pytest
 
 from kiosko.llm import boilerplate, cooccurrence, frequency
+from kiosko.plans import common
 
 DAY = datetime.date(2026, 3, 1)
 
@@ -45,7 +46,10 @@ def norm(line):
     return re.sub(r"\d+", "0", " ".join(line.lower().split()))
 
 
-def test_repeated_lines(spark):
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_repeated_lines(spark, monkeypatch, few):
+    monkeypatch.setattr(boilerplate, "BROADCAST_LINES", few)  # 0: lines meet by (source, hash), the hot ones apart
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
     rng = random.Random(2)
     rows = []
     for i in range(260):
