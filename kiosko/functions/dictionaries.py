@@ -92,6 +92,29 @@ LEMMA_FORMS = {
     "educación": "educativo educativa educativos educativas", "sismo": "terremoto terremotos sismos",
 }
 
+# Words that are left out of bodies.
+JUNK = frozenset("""
+aaa aba aaisa aap aas sd hd jpg like new child https length http domcontentloaded flexdirection firstdiv pointer addeventlistener
+queryselector marginbottom containers lastdiv foreach innerwidth right left top align gnews px twitter com pic font height width
+pred fs us april flickr datawrapper data fried ftx medium exante server family loc lon mag prof lat gpt banner donación style
+relacionadasdetalle null containerstyleflexdirection firstdivstylemarginbottom first div formstyleflexdirection formulario flex
+last cursor document deventlistenerdomloedevent query selector all responsive firstchild tablaennotici notatablaemol public demr
+detalleicon important tdnthchildn arial updatelayout function transmision fontsize backgroundcolor display padding lineheight
+ifslength kok queryselectorall queryselectorinputtyp elements submit www ficon alignitems margin sans serif aton emolmlt border
+rectangle container img end weight content rem bottom center radius text síguenos solid items dadada droidsans justify push cmd
+googletag ad protected email aach aafp aafdf
+""".split())
+
+# Sources and the names by which they are shown.
+SOURCE_LABELS = {
+    "24horas": "24 Horas", "adnradio": "ADN Radio", "agricultura": "Agricultura", "biobio": "Radio BíoBío", "chvnoticias": "CHV Noticias",
+    "ciper": "Ciper", "cnnchile": "CNN Chile", "cooperativa": "Cooperativa", "diariofinanciero": "D. Financiero", "elciudadano": "El Ciudadano",
+    "eldinamo": "El Dínamo", "elmostrador": "El Mostrador", "elsiglo": "El Siglo", "emol": "Emol", "exante": "Ex-Ante", "lacuarta": "La Cuarta",
+    "lahora": "La Hora", "lanacion": "La Nación", "latercera": "La Tercera", "meganoticias": "Meganoticias", "publimetro": "Publimetro",
+    "radiouchile": "Radio U. de Ch.", "t13": "T13", "theclinic": "The Clinic", "redgol": "RedGol", "lasegunda": "La Segunda",
+    "eldesconcierto": "El Desconcierto", "quintopoder": "El Quinto Poder", "izquierdadiario": "La Izquierda Diario",
+}
+
 # Month names, in order.
 MONTHS = "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split()
 TONES = ("positivo", "neutral", "negativo")

@@ -24,7 +24,7 @@ def _nfc_udf(s: pd.Series) -> pd.Series:
 
 
 def nfc(col: Column) -> Column:
-    """Composed accents.  Only values with characters beyond Latin reach Python."""
+    """Composed accents.  All rows pass the Python stage, but only values with characters beyond Latin with their text."""
     plain = col.rlike(_COMPOSED)
     return F.when(plain, col).otherwise(_nfc_udf(F.when(~plain, col)))
 
@@ -53,15 +53,15 @@ def tokens(text: Column) -> Column:
 
 def kept_tokens(toks: Column, least: int = 3) -> Column:
     """Tokens of at least ``least`` characters, with a letter, no stop word."""
-    stop = F.array(*[F.lit(w) for w in sorted(D.STOPWORDS)])
-    return F.filter(toks, lambda x: (F.length(x) >= least) & x.rlike("[a-zA-ZñáéíóúüÑÁÉÍÓÚÜ]") & ~F.array_contains(stop, x))
+    stop = sorted(D.STOPWORDS)  # a set, when it is planned
+    return F.filter(toks, lambda x: (F.length(x) >= least) & ~x.isin(stop) & x.rlike("[a-zA-ZñáéíóúüÑÁÉÍÓÚÜ]"))
 
 
 def ngrams(text: Column, n: int, least: int = 3, longest: int = 300) -> Column:
     """The n-grams of a text of words: none with a stop word or a word shorter than ``least``."""
     words = F.filter(F.split(text, " "), lambda w: w != "")
-    stop = F.array(*[F.lit(w) for w in sorted(D.STOPWORDS)])
-    good = F.transform(words, lambda w: F.when((F.length(w) >= least) & ~F.array_contains(stop, w), w))
+    stop = sorted(D.STOPWORDS)
+    good = F.transform(words, lambda w: F.when((F.length(w) >= least) & ~w.isin(stop), w))
     grams = good
     for k in range(1, n):  # zipped, for a slice in a lambda would make the words anew for each place
         shifted = F.slice(good, F.lit(k + 1), F.greatest(F.size(good) - k, F.lit(0)))
@@ -85,7 +85,8 @@ def fused_by_regex(toks: Column, patterns: dict[tuple[str, ...], str]) -> Column
     marked = F.array_join(F.transform(toks, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")
     found = F.regexp_extract_all(marked, F.lit(f"({fusion_regex(patterns)})"), F.lit(1))
     names = _literal_map({"".join(f"<{w}>" for w in p): name for p, name in patterns.items()})
-    return F.transform(found, lambda x: F.coalesce(F.try_element_at(names, x), F.regexp_replace(x, "[<>]", "")))
+    one = lambda x: F.substring(x, F.lit(2), F.length(x) - 2)
+    return F.transform(found, lambda x: F.when(x.contains("><"), F.try_element_at(names, x)).otherwise(one(x)))  # only fused words are looked up
 
 
 def fused_by_dictionary(df: DataFrame, column: str, patterns: dict[tuple[str, ...], str]) -> DataFrame:
@@ -107,14 +108,13 @@ def _literal_map(d: dict[str, str]) -> Column:
 
 def renamed(toks: Column, table: dict[str, str]) -> Column:
     names = _literal_map(table)
-    return F.transform(toks, lambda x: F.coalesce(F.try_element_at(names, x), x))
+    return F.transform(toks, lambda x: F.when(x.isin(list(table)), F.try_element_at(names, x)).otherwise(x))  # a map is searched from end to end
 
 
 def known_hyphens(toks: Column, names: list[str], least: int = 3) -> Column:
     """Without hyphenated tokens, but for names and for two parts of letters only, each long enough."""
-    canon = F.array(*[F.lit(n) for n in names])
     part = f"[a-zñáéíóúü]{{{least},}}"
-    return F.filter(toks, lambda x: ~x.contains("-") | F.array_contains(canon, x) | x.rlike(f"^{part}-{part}$"))
+    return F.filter(toks, lambda x: ~x.contains("-") | x.isin(names) | x.rlike(f"^{part}-{part}$"))
 
 
 def title_terms(title: Column, pairs: bool = False) -> Column:
@@ -150,16 +150,16 @@ def whole_word(word: str) -> str:
     return f"(?iu)(^|[^\\p{{L}}\\p{{N}}_]){re.escape(word)}($|[^\\p{{L}}\\p{{N}}_])"
 
 
-def clean_body(body: Column, junk: list[str] | None = None) -> Column:
+def clean_body(body: Column, junk: list[str] | frozenset[str] = D.JUNK) -> Column:
     """Body without code, hashtags, punctuation, digits and junk words, in lower case, squeezed; null if blank."""
     text = _replaced(
         F.regexp_replace(body, "\\{\\{.*\\}\\}", ""), ("\\{.*\\}", " "), ("#[^\\n]*[\\p{L}\\p{N}_]", " "), ("var divElement.*\\);", " "),
         ("[\\p{P}\\p{S}]", " "), ("\\p{Nd}", " "),
     )
-    text = F.lower(text)
+    text = F.trim(F.regexp_replace(F.lower(text), "[\\s\\p{Z}]+", " "))
     if junk:
-        text = F.regexp_replace(text, "(?<![\\p{L}\\p{N}_])(" + "|".join(map(re.escape, junk)) + ")(?![\\p{L}\\p{N}_])", " ")
-    return F.when(F.trim(body) != "", F.trim(F.regexp_replace(text, "[\\s\\p{Z}]+", " ")))
+        text = F.array_join(F.filter(F.split(text, " "), lambda w: ~w.isin(sorted(junk))), " ")
+    return F.when(F.trim(body) != "", text)
 
 
 def light_clean(text: Column) -> Column:

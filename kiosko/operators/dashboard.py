@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiosko.functions import dictionaries as D
 from kiosko.functions import text as X
+from kiosko.functions.stem import stem
 
 
 def excluded(base: frozenset[str] | list[str], own: str = "") -> list[str]:
@@ -46,15 +48,6 @@ def prefix_search(terms: DataFrame, prefix: str, n: int = 20) -> DataFrame:
     return found.orderBy(exact, F.desc("total"), "termino").limit(n)
 
 
-def stem(word: str) -> str:
-    """A light Spanish stem: plural and the endings of gender and common suffixes cut."""
-    for end in ("amientos", "imientos", "amiento", "imiento", "aciones", "uciones", "adoras", "adores", "ancias", "ación", "ución", "adora", "ador", "ancia", "mente",
-                "idades", "idad", "ivas", "ivos", "iva", "ivo", "eza", "ezas", "icos", "icas", "ico", "ica", "istas", "ista", "osos", "osas", "oso", "osa", "es", "os", "as", "s", "o", "a", "e"):
-        if word.endswith(end) and len(word) - len(end) >= 3:
-            return word[: -len(end)]
-    return word
-
-
 def first_per_stem(rows: list[tuple[str, int]], n: int = 6) -> list[tuple[str, int]]:
     """The first of the found terms of each stem, at most ``n``."""
     seen: dict[str, tuple[str, int]] = {}
@@ -113,8 +106,26 @@ def gaps(rows: DataFrame) -> DataFrame:
     )
 
 
-def source_status(gap_rows: DataFrame, end: datetime.date, limit: int = 30) -> DataFrame:
-    """With ``dias_inactivo`` and ``estado``: ``malo`` if inactive, else ``gap`` if it has one, else ``ok``."""
+def source_label(source: Column) -> Column:
+    """The name by which a source is shown; its own where there is no other."""
+    names = F.create_map(*[F.lit(x) for kv in D.SOURCE_LABELS.items() for x in kv])
+    return F.coalesce(F.try_element_at(names, source), source)
+
+
+def source_status(gap_rows: DataFrame, end: datetime.date, limit: int = 30, known: dict[str, str] | None = None) -> DataFrame:
+    """With ``dias_inactivo``, ``estado`` and ``problema``: ``malo`` if a problem of the source is ``known`` or it is
+    inactive, else ``gap`` if it has one, else ``ok``; the problem in words, empty if there is none."""
     idle = F.datediff(F.lit(end), F.col("ultima"))
-    state = F.when(idle >= limit, "malo").when(F.col("gap_dias") >= limit, "gap").otherwise("ok")
-    return gap_rows.withColumn("dias_inactivo", idle).withColumn("estado", state)
+    day = lambda c: F.date_format(c, "dd-MM-yyyy")
+    fixed = F.lit(None).cast("string")
+    for name, text in (known or {}).items():
+        fixed = F.when(F.col("fuente") == name, text).otherwise(fixed)
+    bad, gap = idle >= limit, F.col("gap_dias") >= limit
+    state = F.when(fixed.isNotNull() | bad, "malo").when(gap, "gap").otherwise("ok")
+    said = (
+        F.when(fixed.isNotNull(), F.concat(F.lit("⛔ "), fixed))
+        .when(bad, F.concat(F.lit("⛔ Inactivo: sin noticias desde el "), day("ultima"), F.lit(".")))
+        .when(gap, F.concat(F.lit("⚠ Gap de datos: sin noticias del "), day("gap_desde"), F.lit(" al "), day("gap_hasta"), F.lit(" ("), F.col("gap_dias").cast("string"), F.lit(" días).")))
+        .otherwise("")
+    )
+    return gap_rows.withColumn("dias_inactivo", idle).withColumn("estado", state).withColumn("problema", said)

@@ -18,6 +18,7 @@ START, END = datetime.date(2026, 2, 25), datetime.date(2026, 3, 25)
 SOURCE = "diariocoiron"
 WORDS = ["hospital", "escuela", "senado"]
 COMMON = ["País", "villa", "quebrada"]
+KNOWN = {SOURCE: "Captura interrumpida por el sitio."}
 GAP = 2  # days from which a gap or inactivity is reported in the test tables
 
 
@@ -25,6 +26,15 @@ def _terms(spark, d):
     return read(spark, d, "titulos_terminos_por_medio")
 
 
+def _news(spark, d):
+    return read(spark, d, "noticias")
+
+
+def _with_word(spark, d, word):
+    """Articles of the range with a word in the title."""
+    return O.articles(B.titles_with_word(B.between(_news(spark, d), START, END), word), "titulo", "fuente", "fecha", "url")
+
+
 def date_range(spark, d):
     return rows(spark, d).agg(F.min("fecha").alias("desde"), F.max("fecha").alias("hasta"), F.countDistinct("fuente").alias("fuentes"))
 
@@ -74,11 +84,11 @@ def evolution_yearly(spark, d):
 
 
 def volume_day(spark, d):
-    return B.volume(B.between(rows(spark, d), START, END), "fecha")
+    return B.volume(rows(spark, d, START, END), "fecha")
 
 
 def volume_summary(spark, d):
-    return B.volume_summary(B.volume(B.between(rows(spark, d), START, END), "fecha"))
+    return B.volume_summary(B.volume(rows(spark, d, START, END), "fecha"))
 
 
 def volume_period_source(spark, d):
@@ -104,7 +114,9 @@ def term_search_stems(spark, d):
 
 
 def title_search_word(spark, d):
-    return B.titles_with_word(rows(spark, d), "según").select("id", "titulo", "fecha")
+    """Titles agree in all rows of an article, so they are searched before articles are made of rows."""
+    own = B.titles_with_word(_news(spark, d), "según")
+    return O.articles(own, "titulo", "fecha")
 
 
 def title_search_any(spark, d):
@@ -113,17 +125,17 @@ def title_search_any(spark, d):
 
 
 def news_page(spark, d):
-    own = B.titles_with_word(B.between(rows(spark, d), START, END), "en")
+    own = _with_word(spark, d, "en")
     return B.page(own, 3, 5, F.desc("fecha"), "id").select("id", "titulo", "fuente", "fecha", "url")
 
 
 def news_page_ascending(spark, d):
-    own = B.between(rows(spark, d), START, END, SOURCE)
+    own = rows(spark, d, START, END, SOURCE)
     return B.page(own, 2, 5, "fecha", "id").select("id", "titulo", "fuente", "fecha")
 
 
 def news_count(spark, d):
-    own = B.titles_with_word(B.between(rows(spark, d), START, END), "en").agg(F.count("*").alias("total"))
+    own = _with_word(spark, d, "en").agg(F.count("*").alias("total"))
     return own.withColumn("paginas", F.greatest(F.lit(1), F.ceil(F.col("total") / 5)).cast("int"))
 
 
@@ -137,7 +149,34 @@ def gap_diagnostics(spark, d):
 
 
 def source_status(spark, d):
-    return B.source_status(B.gaps(rows(spark, d)), END + datetime.timedelta(days=3), GAP)
+    return B.source_status(B.gaps(rows(spark, d)), END + datetime.timedelta(days=3), GAP, KNOWN)
+
+
+def source_labels(spark, d):
+    """The sources of the articles, and those that have a label of their own."""
+    own = rows(spark, d).select("fuente").distinct()
+    all_of_them = own.unionByName(spark.createDataFrame([(x,) for x in D.SOURCE_LABELS], "fuente string"))
+    return all_of_them.distinct().select("fuente", B.source_label(F.col("fuente")).alias("nombre"))
+
+
+def routed_monthly_terms(spark, d):
+    """The same over a range that asks for the monthly table."""
+    start = END - datetime.timedelta(days=200)
+    assert router.term_table(start, END) == "mv_terminos_mensuales"
+    own = B.between(O.monthly(_terms(spark, d)), start, END)
+    return O.top(B.term_totals(own, sorted(D.STOPWORDS)), "total", "termino", n=30)
+
+
+def all_term_totals(spark, d):
+    """Totals over the whole table, without a range."""
+    return B.term_totals(_terms(spark, d), sorted(D.STOPWORDS))
+
+
+def clamped_range(spark, d):
+    """The range that is asked, within the dates that there are."""
+    last = rows(spark, d).agg(F.max("fecha")).first()[0]  # one row
+    lo, hi = router.clamped(datetime.date(2010, 1, 1), datetime.date(2100, 1, 1), last, END)
+    return spark.createDataFrame([(lo, hi, router.granularity(lo, hi))], "desde date, hasta date, detalle string")
 
 
 def last_dates(spark, d):
@@ -146,19 +185,19 @@ def last_dates(spark, d):
 
 def recent_articles(spark, d):
     """Of the last seven days before a stated day, future dates left out."""
-    own = rows(spark, d)
-    return own.where((F.col("fecha") >= F.date_sub(F.lit(END), 7)) & (F.col("fecha") <= F.lit(END))).select("id", "fecha")
+    return rows(spark, d, END - datetime.timedelta(days=7), END).select("id", "fecha")
 
 
 QUERIES = {f.__name__: f for f in (
     date_range, corpus_size, distinct_terms, top_terms_10, top_terms_source, top_term_per_source, routed_top_terms, evolution_terms, evolution_source,
     evolution_yearly, volume_day, volume_summary, volume_period_source, source_totals, source_share_by_year, term_search_prefix, term_search_stems,
     title_search_word, title_search_any, news_page, news_page_ascending, news_count, concept_by_source_dense, gap_diagnostics, source_status, last_dates,
-    recent_articles,
+    recent_articles, source_labels, routed_monthly_terms, all_term_totals, clamped_range,
 )}
 
 _T = "titulos_terminos_por_medio"
 _IN = f"fecha BETWEEN DATE '{START}' AND DATE '{END}'"
+_IDLE = f"(DATE '{END + datetime.timedelta(days=3)}' - ultima)"
 _STOP = Q.inside(sorted(D.STOPWORDS))
 _EN = r"regexp_matches(titulo, '(?i)(^|[^\p{L}\p{N}_])en($|[^\p{L}\p{N}_])')"
 _GAPS = f"""{Q.ART}, days AS (SELECT DISTINCT fuente, fecha FROM art WHERE fuente IS NOT NULL AND fecha IS NOT NULL),
@@ -199,7 +238,15 @@ ORACLE = {
       CROSS JOIN (SELECT unnest({Q.listed(WORDS)}) AS termino) w LEFT JOIN (SELECT * FROM {_T} WHERE {_IN}) t ON t.fuente = s.fuente AND t.termino = w.termino GROUP BY ALL""",
     "gap_diagnostics": f"WITH {_GAPS} SELECT * FROM gaps",
     "source_status": f"""WITH {_GAPS} SELECT *, (DATE '{END + datetime.timedelta(days=3)}' - ultima)::INTEGER AS dias_inactivo,
-      CASE WHEN DATE '{END + datetime.timedelta(days=3)}' - ultima >= {GAP} THEN 'malo' WHEN gap_dias >= {GAP} THEN 'gap' ELSE 'ok' END AS estado FROM gaps""",
+      CASE WHEN fuente = '{SOURCE}' OR {_IDLE} >= {GAP} THEN 'malo' WHEN gap_dias >= {GAP} THEN 'gap' ELSE 'ok' END AS estado,
+      CASE WHEN fuente = '{SOURCE}' THEN '⛔ ' || '{KNOWN[SOURCE]}' WHEN {_IDLE} >= {GAP} THEN '⛔ Inactivo: sin noticias desde el ' || strftime(ultima, '%d-%m-%Y') || '.'
+        WHEN gap_dias >= {GAP} THEN '⚠ Gap de datos: sin noticias del ' || strftime(gap_desde, '%d-%m-%Y') || ' al ' || strftime(gap_hasta, '%d-%m-%Y') || ' (' || gap_dias || ' días).' ELSE '' END AS problema FROM gaps""",
+    "source_labels": f"""WITH {Q.ART} SELECT fuente, coalesce(nombre, fuente) AS nombre FROM (SELECT DISTINCT fuente FROM art UNION SELECT unnest({Q.listed(D.SOURCE_LABELS)}))
+      LEFT JOIN (SELECT unnest({Q.listed(D.SOURCE_LABELS)}) AS f, unnest({Q.listed(D.SOURCE_LABELS.values())}) AS nombre) ON fuente = f""",
+    "routed_monthly_terms": f"""SELECT termino, sum(frecuencia)::BIGINT AS total FROM {_T} WHERE date_trunc('month', fecha) BETWEEN DATE '{END}' - 200 AND DATE '{END}' AND termino NOT IN {_STOP}
+      GROUP BY termino ORDER BY 2 DESC, 1 LIMIT 30""",
+    "all_term_totals": f"SELECT termino, sum(frecuencia)::BIGINT AS total FROM {_T} WHERE termino NOT IN {_STOP} GROUP BY termino",
+    "clamped_range": f"WITH {Q.ART} SELECT DATE '2018-01-01' AS desde, least(max(fecha), DATE '{END}') AS hasta, 'year' AS detalle FROM art",
     "last_dates": f"WITH {Q.ART} SELECT fuente, max(fecha) AS ultima, min(fecha) AS primera FROM art GROUP BY fuente",
     "recent_articles": f"WITH {Q.ART} SELECT id, fecha FROM art WHERE fecha BETWEEN DATE '{END}' - 7 AND DATE '{END}'",
 }

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from kiosko.functions import dates, text
+from kiosko.functions import dictionaries as D
 from kiosko.plans.common import read
 from kiosko.queries import sql as Q
 from kiosko.queries.titles import rows
@@ -165,7 +166,8 @@ ORACLE = {
     "html_published": f"WITH {Q.ART} SELECT id AS page, fecha AS fecha_pagina FROM art",
     "html_links": f"WITH {Q.ART} SELECT id AS page, url FROM art UNION ALL SELECT id, '/portada' FROM art",
     "json_feed": f"WITH {Q.ART} SELECT titulo, url, fecha::VARCHAR AS fecha, 'uno' || chr(10) || 'dos' AS cuerpo FROM art",
-    "body_clean": f"SELECT DISTINCT id, CASE WHEN trim(cuerpo) <> '' THEN trim({_CLEAN}) END AS limpio FROM noticias",
+    "body_clean": f"""SELECT DISTINCT id, CASE WHEN trim(cuerpo) <> '' THEN array_to_string(list_filter(string_split(trim({_CLEAN}), ' '), lambda w: NOT list_contains({Q.listed(sorted(D.JUNK))}, w)), ' ') END AS limpio
+      FROM noticias""",
     "light_clean": f"SELECT DISTINCT id, trim({Q.replaced('cuerpo', ('dfp:|[' + chr(92) + 'n' + chr(92) + 'r]', ' '), (r'[\s\v\p{Z}]+', ' '))}) AS limpio FROM noticias",
     "pages_to_read": f"WITH {Q.ART} SELECT fuente, greatest(2, least(ceil((DATE '{TODAY}' - max(fecha)) * 1.5), 60))::INTEGER AS paginas FROM art GROUP BY fuente",
     "staging_checks": "SELECT count(*) AS filas, " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_nulos, count(*) FILTER (WHERE length({c}) > 150) AS {c}_largos" for c in ("titulo", "bajada", "cuerpo")) + " FROM noticias",

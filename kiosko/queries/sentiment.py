@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from kiosko.operators import sentiment as S
-from kiosko.operators.dashboard import between, page
+from kiosko.operators.dashboard import page
 from kiosko.plans.common import read
 from kiosko.queries import sql as Q
 from kiosko.queries.dashboard import END, SOURCE, START
@@ -64,7 +64,7 @@ def sentiment_meta(spark, d):
 
 
 def sentiment_page(spark, d):
-    own = between(_toned(spark, d), START, END, SOURCE).where("sentimiento = 'negativo'")
+    own = S.with_tone(rows(spark, d, START, END, SOURCE), _results(spark, d)).where("sentimiento = 'negativo'")
     return page(own, 1, 10, F.desc("fecha"), F.desc("procesado_en"), "id").select("id", "titulo", "fecha", "sentimiento")
 
 
@@ -165,7 +165,7 @@ ORACLE = {
     "pending_count": f"WITH {Q.ART} SELECT fuente, count(*) AS n FROM art WHERE length(titulo) >= 6 AND NOT EXISTS (SELECT 1 FROM noticias_sentimiento s WHERE s.id = art.id) GROUP BY fuente",
     "actor_net_tone": f"""WITH {_TONED}, a AS (SELECT t.actor AS actor, sentimiento FROM toned, unnest(list_distinct(regexp_extract_all(titulo, '{NAME}'))) AS t(actor)),
       w AS ({_wide('actor', 'a')}) SELECT actor, positivo, neutral, negativo, total, round(100.0::DOUBLE * positivo / total, 1) AS pct_pos, round(100.0::DOUBLE * negativo / total, 1) AS pct_neg,
-      round(round(100.0::DOUBLE * positivo / total, 1) - round(100.0::DOUBLE * negativo / total, 1), 1) AS neto FROM w WHERE total >= 3""",
+      round(round(100.0::DOUBLE * positivo / total, 1) - round(100.0::DOUBLE * negativo / total, 1), 1) AS neto FROM w""",
     "actor_daily": f"""WITH {_TONED}, a AS (SELECT fecha, fuente, t.actor AS actor, sentimiento FROM toned, unnest(list_distinct(regexp_extract_all(titulo, '{NAME}'))) AS t(actor))
       SELECT fecha, fuente, actor, sentimiento, count(*) AS n FROM a GROUP BY ALL""",
     "confidence_normalised": """SELECT id, procesado_en, CASE WHEN r IS NOT NULL THEN greatest(0, least(100, round_even(CASE WHEN r > 1 THEN r ELSE r * 100 END, 0)::INTEGER)) END AS confianza_norm

@@ -9,14 +9,17 @@ from kiosko.functions import dictionaries as D
 from kiosko.functions import text as X
 from kiosko.operators import network as N
 from kiosko.operators import titles as O
+from kiosko.operators.dashboard import between
 from kiosko.plans.common import once, read
 from kiosko.queries import sql as Q
 
 DYNAMIC = 20  # occurrences from which an n-gram is a compound, in the test tables
 
 
-def rows(spark: SparkSession, d: str) -> DataFrame:
-    return O.articles(read(spark, d, "noticias"), "titulo", "fuente", "fecha", "url", "bajada")
+def rows(spark: SparkSession, d: str, start=None, end=None, source: str | None = None) -> DataFrame:
+    """The articles; those of a range of dates and a source, if one is given.  Rows of an article agree in both, so the
+    conditions go to the scan, before articles are made of rows."""
+    return O.articles(between(read(spark, d, "noticias"), start, end, source), "titulo", "fuente", "fecha", "url", "bajada")
 
 
 def terms_daily(spark, d):
@@ -212,7 +215,7 @@ ORACLE = {
       JOIN s ON b.fecha_semana = s.fecha_semana JOIN f ON b.fecha_semana = f.fecha_semana AND b.termino = f.termino""",
     "body_terms_daily": f"""SELECT fecha, t.termino AS termino, {_COUNT} AS frecuencia FROM (SELECT id, min(fecha) AS fecha, min(cuerpo_limpio) AS c FROM noticias WHERE id IS NOT NULL GROUP BY id),
       unnest({Q.kept_tokens('lower(c)')}) AS t(termino) GROUP BY ALL""",
-    "body_ngrams_daily": f"WITH {_body_grams()} SELECT fecha, ngrama, tipo::SMALLINT AS tipo, {_COUNT} AS n FROM gram GROUP BY ALL HAVING count(*) >= 2",
+    "body_ngrams_daily": f"WITH {_body_grams()} SELECT fecha, ngrama, tipo::SMALLINT AS tipo, {_COUNT} AS n FROM gram GROUP BY ALL",
     "cosine_pairs": """SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS similitud
       FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3""",
 }

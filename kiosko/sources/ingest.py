@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -21,7 +22,7 @@ def article_id(url: Column, source: Column) -> Column:
     return F.md5(F.concat(url, F.lit("_"), source))
 
 
-def prepared(batch: DataFrame, today: datetime.date, junk: list[str] | None = None) -> DataFrame:
+def prepared(batch: DataFrame, today: datetime.date) -> DataFrame:
     """A raw batch as rows of ``noticias``: missing columns added, dates parsed, rows without url, source or date left
     out, the first of each (url, fuente) kept, id, clean body and year derived.
 
@@ -39,7 +40,7 @@ def prepared(batch: DataFrame, today: datetime.date, junk: list[str] | None = No
     order = ["orden"] if "orden" in batch.columns else ["fecha", "titulo", "fecha_scraping", "bajada", "cuerpo"]
     own = first_of(own, ["url", "fuente"], *order)
     return own.select(
-        article_id(F.col("url"), F.col("fuente")).alias("id"), "titulo", "bajada", "cuerpo", text.clean_body(F.col("cuerpo"), junk).alias("cuerpo_limpio"),
+        article_id(F.col("url"), F.col("fuente")).alias("id"), "titulo", "bajada", "cuerpo", text.clean_body(F.col("cuerpo")).alias("cuerpo_limpio"),
         "fecha", "fecha_scraping", "url", "fuente", F.year("fecha").alias("año"), F.lit(None).cast("timestamp").alias("created_at"),
     ).where("titulo is not null")
 
@@ -82,9 +83,10 @@ def page_count(days: Column, per_day: float = 1.5, least: int = 2, most: int | N
 
 
 def attribute(html: Column, name: str) -> Column:
-    """The content of a meta element by its name, property or itemprop; null if there is none."""
-    found = F.regexp_extract(html, rf"""(?is)<meta[^>]*(?:name|property|itemprop)=["']{name}["'][^>]*content=["']([^"']*)["']""", 1)
-    return F.when(found != "", found)
+    """The content of a meta element by its name, property or itemprop, before or after it; null if there is none."""
+    named, content = rf"""(?:name|property|itemprop)\s*=\s*["']{re.escape(name)}["']""", r"""content\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    tries = [F.regexp_extract(html, rf"(?is)<meta\s[^>]*{a}[^>]*{b}", i) for a, b in ((named, content), (content, named)) for i in (1, 2)]
+    return F.coalesce(*[F.nullif(x, F.lit("")) for x in tries])
 
 
 def html_title(html: Column) -> Column:
@@ -109,6 +111,19 @@ def published(html: Column, url: Column) -> Column:
     )
 
 
+def date_verdict(date: Column, floor: datetime.date | None, today: datetime.date) -> Column:
+    """``fuera de rango`` before the floor, ``fecha futura`` from the day after tomorrow on (a wrong reading), ``sin fecha``
+    for null, else ``ok``."""
+    early = F.lit(False) if floor is None else date < F.lit(floor)
+    return F.when(date.isNull(), "sin fecha").when(early, "fuera de rango").when(date > F.lit(today + datetime.timedelta(days=1)), "fecha futura").otherwise("ok")
+
+
+def backfilled(pages: DataFrame, known: DataFrame, floor: datetime.date | None, today: datetime.date) -> DataFrame:
+    """(url, fecha, veredicto) of the pages (url, html) that no known article has: their date by ``published``, judged."""
+    new = unknown(pages, known).withColumn("fecha", published(F.col("html"), F.col("url")))
+    return new.select("url", "fecha", date_verdict(F.col("fecha"), floor, today).alias("veredicto"))
+
+
 class _Text(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
