@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kiosko.plans.common import read
-from kiosko.queries import dashboard, ingest, sentiment, titles
+from kiosko.queries import dashboard, ingest, sentiment, stored, titles
 from kiosko.streaming import late
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,7 @@ def p1_corrections(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_daily_counts, p1_corrections)}
-for _m in (titles, dashboard, sentiment, ingest):
+for _m in (titles, dashboard, sentiment, ingest, stored):
     QUERIES |= _m.QUERIES
 
 _LATE = """
@@ -45,5 +45,5 @@ ORACLE: dict[str, str] = {
       c AS (SELECT *, coalesce(sum(CASE WHEN efecto <> 'excluida' THEN n END) OVER (PARTITION BY fecha ORDER BY llegada), 0)::BIGINT AS despues FROM p)
       SELECT llegada, fecha, n, efecto, (despues - CASE WHEN efecto <> 'excluida' THEN n ELSE 0 END)::BIGINT AS antes, despues FROM c""",
 }
-for _m in (titles, dashboard, sentiment, ingest):
+for _m in (titles, dashboard, sentiment, ingest, stored):
     ORACLE |= _m.ORACLE

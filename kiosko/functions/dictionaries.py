@@ -164,28 +164,6 @@ def singular(word: str) -> str:
     return word
 
 
-def dynamic_compounds(frequent: list[str], curated: dict[tuple[str, ...], str]) -> dict[tuple[str, ...], str]:
-    """Patterns of frequent n-grams (most frequent first) -> canonical label, the words without plural.
-
-    N-grams of other than two or three words, and those that end a longer curated pattern, are left out.  The first
-    n-gram of a label also adds the label itself as a pattern.  Curated patterns keep precedence when both are merged.
-    """
-    endings = {p[i:] for p in curated for i in range(1, len(p))}
-    out: dict[tuple[str, ...], str] = {}
-    labels: set[str] = set()
-    for gram in frequent:
-        words = tuple(gram.split(" "))
-        if len(words) not in (2, 3) or words in endings:
-            continue
-        base = tuple(map(singular, words))
-        label = " ".join(base)
-        out.setdefault(words, label)
-        if label not in labels:
-            labels.add(label)
-            out.setdefault(base, label)
-    return out
-
-
 def fuse(tokens: list[str], by_first: dict[str, tuple[dict, dict]]) -> list[str]:
     """Greedy fusion from left to right: at each place a pattern of three words, else of two, else the word."""
     out, i, n = [], 0, len(tokens)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiosko.functions import dictionaries as D
+from kiosko.plans.common import joined, written
 
 #: Characters that composition can't change: the values made of them stay in the JVM.
 _COMPOSED = "^[\\x00-\\x{02ff}\\x{2000}-\\x{206f}]*$"
@@ -102,6 +103,30 @@ def fused_by_dictionary(df: DataFrame, column: str, patterns: dict[tuple[str, ..
     return df.withColumn(column, run(F.col(column)))
 
 
+def fused_by_table(df: DataFrame, column: str, patterns: DataFrame) -> DataFrame:
+    """Greedy fusion of an array column by a table (patron, etiqueta, total) of any size, written and of one row a
+    pattern: the sequences of two and three words of each row meet it by a join, frequent patterns taken apart, and each
+    row is fused with the patterns that it met."""
+    own = written(df.withColumn("_r", F.monotonically_increasing_id()))
+    words = F.col(column)
+
+    def runs(n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, each).otherwise(F.array().cast("array<string>"))
+
+    seen = own.select("_r", F.explode(F.array_distinct(F.concat(runs(2), runs(3)))).alias("patron"))
+    met = joined(seen, patterns, ["patron"], "total").groupBy("_r").agg(F.collect_list("patron").alias("_p"), F.collect_list("etiqueta").alias("_e"))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(tokens: pd.Series, found: pd.Series, labels: pd.Series) -> pd.Series:
+        out = []
+        for t, p, e in zip(tokens, found, labels, strict=True):
+            out.append(None if t is None else list(t) if p is None else D.fuse(list(t), D.first_words({tuple(x.split(" ")): y for x, y in zip(p, e, strict=True)})))
+        return pd.Series(out)
+
+    return own.join(met, "_r", "left").withColumn(column, run(column, "_p", "_e")).drop("_r", "_p", "_e")
+
+
 def _literal_map(d: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 

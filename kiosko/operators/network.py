@@ -95,12 +95,45 @@ def complete_linkage(distance: np.ndarray, height: float) -> list[int]:
     return [label[i] for i in range(len(distance))]
 
 
+def with_profiles(top: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(termino, total, otros, pesos) of a top-N (termino, total): how often each term meets each of the others in
+    ``pairs``, and itself ``total`` times."""
+    ends = F.array(F.struct(F.col("termino_a").alias("x"), F.col("termino_b").alias("y")), F.struct(F.col("termino_b").alias("x"), F.col("termino_a").alias("y")))
+    own = F.broadcast(top.select("termino"))  # the N terms
+    met = pairs.join(own.withColumnRenamed("termino", "termino_a"), "termino_a", "left_semi").join(own.withColumnRenamed("termino", "termino_b"), "termino_b", "left_semi")
+    met = met.groupBy("termino_a", "termino_b").agg(F.sum("n").alias("n")).withColumn("e", F.explode(ends)).select(F.col("e.x").alias("termino"), F.col("e.y").alias("otro"), "n")
+    met = met.unionByName(top.select("termino", F.col("termino").alias("otro"), F.col("total").alias("n")))
+    return top.join(met.groupBy("termino").agg(F.collect_list("otro").alias("otros"), F.collect_list("n").alias("pesos")), "termino")
+
+
+def profile_similarity(edges: DataFrame) -> DataFrame:
+    """(termino_a, termino_b, similitud), a < b: the cosine of the weights with which two nodes of a ``network`` meet the
+    others.  Bounded by the network's edges."""
+    ends = F.array(F.struct(F.col("termino_a").alias("x"), F.col("termino_b").alias("y")), F.struct(F.col("termino_b").alias("x"), F.col("termino_a").alias("y")))
+    rows = edges.withColumn("e", F.explode(ends)).select(F.col("e.x").alias("t"), F.col("e.y").alias("otro"), F.col("peso").cast("double").alias("w"))
+    norm = rows.groupBy("t").agg(F.sum(F.col("w") * F.col("w")).alias("s"))
+    a, b = rows.select(F.col("t").alias("termino_a"), "otro", F.col("w").alias("wa")), rows.select(F.col("t").alias("termino_b"), "otro", F.col("w").alias("wb"))
+    dot = a.join(b, "otro").where("termino_a < termino_b").groupBy("termino_a", "termino_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("d"))
+    dot = dot.join(norm.select(F.col("t").alias("termino_a"), F.col("s").alias("sa")), "termino_a").join(norm.select(F.col("t").alias("termino_b"), F.col("s").alias("sb")), "termino_b")
+    return dot.select("termino_a", "termino_b", F.round(F.col("d") / F.sqrt(F.col("sa") * F.col("sb")), 6).alias("similitud"))
+
+
+def semantic_edges(similar_terms: DataFrame, edges: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """Pairs of similar terms (termino_a < termino_b) that have no edge yet."""
+    there = edges.select(F.least("termino_a", "termino_b").alias("termino_a"), F.greatest("termino_a", "termino_b").alias("termino_b")).distinct()
+    return similar_terms.where(F.col("similitud") >= threshold).join(there, ["termino_a", "termino_b"], "left_anti")
+
+
 def clustered_top(top: DataFrame, height: float = 0.4) -> DataFrame:
-    """(termino, total, terminos) from (termino, total, vector) of a top-N: near terms merged under the most frequent."""
+    """(termino, total, terminos) from (termino, total, otros, pesos) of a top-N: terms with near profiles (numbers by
+    name) merged under the most frequent."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["total", "termino"], ascending=[False, True], ignore_index=True)
-        m = np.array(f["vector"].tolist(), float)
+        at = {x: i for i, x in enumerate(sorted({x for xs in f["otros"] for x in xs}))}
+        m = np.zeros((len(f), max(1, len(at))))
+        for i, (xs, ws) in enumerate(zip(f["otros"], f["pesos"], strict=True)):
+            m[i, [at[x] for x in xs]] = ws
         m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
         f["c"] = complete_linkage(1 - m @ m.T, height)
         out = [(g["termino"].iloc[0], int(g["total"].sum()), ", ".join(g["termino"])) for _, g in f.groupby("c")]
@@ -111,33 +144,33 @@ def clustered_top(top: DataFrame, height: float = 0.4) -> DataFrame:
 
 def similar(queries: DataFrame, rows: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
     """(a, b, similitud): each stated query (vec_id, embedding) with each other row of cosine similarity at least
-    ``threshold``.  Queries are broadcast in blocks of ``block``, rows stream past them; zero vectors match nothing."""
+    ``threshold``.  Queries are broadcast in blocks of ``block``; the rows are scanned once, and each Arrow batch meets one
+    block after another.  Zero vectors match nothing."""
     spark = rows.sparkSession
     blocks = max(1, -(-queries.count() // block))
-    parts = []
+    held = []
     for i in range(blocks):
         own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i)
-        held = own.where("vec_id is not null and embedding is not null").select("vec_id", "embedding").collect()
-        if not held and blocks > 1:
-            continue
-        ids = np.array([r.vec_id for r in held], np.int64)
-        shared = spark.sparkContext.broadcast((ids, _unit([r.embedding for r in held])))
-
-        def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, q = shared.value
-            for f in frames:
-                f = f.dropna()
-                if len(f) and len(ids):
-                    own = f["vec_id"].to_numpy(np.int64)
-                    s = q @ _unit(f["embedding"].tolist()).T
-                    x, y = np.nonzero((s >= threshold) & (ids[:, None] != own[None, :]))
+        found = own.where("vec_id is not null and embedding is not null").select("vec_id", "embedding").collect()
+        if found:
+            held.append(spark.sparkContext.broadcast((np.array([r.vec_id for r in found], np.int64), _unit([r.embedding for r in found]))))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            f = f.dropna()
+            if not len(f):
+                continue
+            own, v = f["vec_id"].to_numpy(np.int64), _unit(f["embedding"].tolist()).T
+            for shared in held:
+                ids, q = shared.value
+                s = q @ v
+                x, y = np.nonzero((s >= threshold) & (ids[:, None] != own[None, :]))
+                if len(x):
                     yield pd.DataFrame({"a": ids[x], "b": own[y], "similitud": s[x, y]})
+                if len(held) > 1:
+                    shared.__dict__.pop("_value", None)  # one block at a time; it is read again from the worker's disk
 
-        parts.append(rows.select("vec_id", "embedding").mapInPandas(run, "a bigint, b bigint, similitud double"))
-    out = parts[0] if parts else spark.createDataFrame([], "a bigint, b bigint, similitud double")
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rows.select("vec_id", "embedding").mapInPandas(run, "a bigint, b bigint, similitud double")
 
 
 def _unit(vectors: list) -> np.ndarray:

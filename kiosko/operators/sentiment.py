@@ -85,13 +85,51 @@ def pending(rows: DataFrame, done: DataFrame, least: int = 6) -> DataFrame:
     return rows.where(F.length("titulo") >= least).join(done.select("id").where("id is not null"), "id", "left_anti")
 
 
-def failures(old: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
-    """(id, intentos, ultima_vez): the error table with one more try for each of ``ids``."""
+def retries(rows: DataFrame, errors: DataFrame, least: int = 6) -> DataFrame:
+    """(id, titulo, intentos, ultima_vez): articles that failed before, to be ordered by ``ultima_vez``, ``id``."""
+    own = rows.where(F.length("titulo") >= least).select("id", "titulo")
+    return own.join(errors.where("id is not null").select("id", "intentos", "ultima_vez"), "id")
+
+
+def failures(old: DataFrame, ids: DataFrame, now: Column, done: DataFrame | None = None) -> DataFrame:
+    """(id, intentos, ultima_vez): the error table with one more try for each of ``ids`` and without those ``done``."""
+    if done is not None:
+        done = done.select("id").where("id is not null").distinct()
+        old, ids = old.join(done, "id", "left_anti"), ids.join(done, "id", "left_anti")
     new = ids.select("id").distinct().select("id", F.lit(1).alias("mas"))
     joined = old.join(new, "id", "full")
     return joined.select("id", (F.coalesce("intentos", F.lit(0)) + F.coalesce("mas", F.lit(0))).cast("int").alias("intentos"), F.when(F.col("mas").isNotNull(), now).otherwise(F.col("ultima_vez")).alias("ultima_vez"))
 
 
+def run_pending(rows: DataFrame, results, ask: Callable[[str], str] = lexicon_answer, model: str = "lexicon", chunk: int = 500, limit: int = 0) -> tuple[int, int, int]:
+    """(tried, written, failed) of a run over the pending articles, newest first, ``chunk`` at a time, at most ``limit`` if
+    it is above 0.  ``results`` is the table of results: each chunk is upserted before the next one begins, so a run that
+    was cut off goes on where it ended.  Answers that can't be read are left pending, and are not tried twice in a run.
+    """
+    from kiosko.plans.common import written
+
+    tried = good = 0
+    failed = None
+    while not limit or tried < limit:
+        own = pending(rows, results.read())
+        if failed is not None:
+            own = own.join(failed, "id", "left_anti")
+        size = min(chunk, limit - tried) if limit else chunk
+        batch = written(own.orderBy(F.desc_nulls_last("fecha"), "id").limit(size).select("id", "titulo"))
+        n = batch.count()
+        if not n:
+            break
+        answers = written(classify(batch, ask, model))
+        new = answers.where("sentimiento is not null").selectExpr("id", "sentimiento", "modelo", "current_timestamp() as procesado_en", "cast(null as int) as confianza", "cast(null as string) as prompt_version")
+        results.upsert(new, "id")
+        bad = answers.where("sentimiento is null").select("id")
+        failed = bad if failed is None else failed.unionByName(bad)
+        tried, good = tried + n, good + n - bad.count()
+        if n < size:
+            break
+    return tried, good, tried - good
+
+
 def current(results: DataFrame) -> DataFrame:
     """One result per article, the latest by ``procesado_en``; labels in lower case and trimmed, invalid ones left out.
     Ties are broken by the other columns."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kiosko.functions import dictionaries as D
 from kiosko.functions import text as X
-from kiosko.plans.common import once
+from kiosko.plans.common import once, written
 
 
 def articles(noticias: DataFrame, *columns: str) -> DataFrame:
@@ -20,17 +20,26 @@ def with_title(rows: DataFrame) -> DataFrame:
     return rows.where(F.trim("titulo") != "")
 
 
-def article_terms(rows: DataFrame, dynamic: dict[tuple[str, ...], str] | None = None, longest: int = 150) -> DataFrame:
+def article_terms(rows: DataFrame, dynamic: DataFrame | None = None, longest: int = 150, most: int = 200_000) -> DataFrame:
     """One row per term of a title, repeats kept: the columns of ``rows`` and ``termino``.
 
-    With ``dynamic`` compounds the fusion uses curated and dynamic patterns together (in Arrow batches, for the latter
-    may be thousands); else the curated ones alone, in the JVM.
+    With ``dynamic`` compounds (patron, etiqueta, total) the fusion uses curated and dynamic patterns together, the curated
+    ones first: by a broadcast dictionary if there are at most ``most``, else by a join of the titles' word sequences with
+    the patterns.  Without, the curated ones alone, in the JVM.
     """
     rows = with_title(rows)
-    if dynamic:
-        both = {**D.compounds(), **{k: v for k, v in dynamic.items() if k not in D.compounds()}}
+    if dynamic is not None:
+        curated = D.compounds()
+        spark = rows.sparkSession
+        fixed = spark.createDataFrame([(" ".join(p), name) for p, name in curated.items()], "patron string, etiqueta string").withColumn("total", F.lit(0).cast("bigint"))
+        dynamic = written(dynamic.where(~F.col("patron").isin([" ".join(p) for p in curated])).select("patron", "etiqueta", "total"))
         rows = rows.withColumn("_t", X.kept_tokens(X.tokens(X.term_profile(F.col("titulo")))))
-        rows = X.fused_by_dictionary(rows, "_t", both).withColumn("_t", once(X.canonical_terms(F.col("_t"))))
+        found = dynamic.limit(most + 1).collect() if most else [None]
+        if len(found) <= most:
+            rows = X.fused_by_dictionary(rows, "_t", {**curated, **{tuple(r.patron.split(" ")): r.etiqueta for r in found}})
+        else:
+            rows = X.fused_by_table(rows, "_t", written(dynamic.unionByName(fixed)))
+        rows = rows.withColumn("_t", once(X.canonical_terms(F.col("_t"))))
     else:
         rows = rows.withColumn("_t", once(X.title_terms(F.col("titulo"))))
     return rows.withColumn("termino", F.explode("_t")).drop("_t").where(F.length("termino") <= longest)
@@ -79,13 +88,20 @@ def frequent_ngrams(ngrams: DataFrame, least: int = 50) -> DataFrame:
     return ngrams.where("tipo in (2, 3) and ngrama is not null").groupBy("ngrama").agg(F.sum("n").alias("total")).where(F.col("total") >= least)
 
 
-def dynamic_compounds(ngrams: DataFrame, least: int = 50, most: int = 200_000) -> dict[tuple[str, ...], str]:
-    """Patterns of frequent n-grams -> label.  Only n-grams above the threshold reach the driver; should they be more
-    than ``most``, an error asks for a higher threshold."""
-    rows = frequent_ngrams(ngrams, least).orderBy(F.desc("total"), "ngrama").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} n-grams occur {least} times; raise the threshold")
-    return D.dynamic_compounds([r.ngrama for r in rows], D.compounds())
+def dynamic_compounds(ngrams: DataFrame, least: int = 50) -> DataFrame:
+    """(patron, etiqueta, total): patterns of frequent n-grams and the label that takes their place, the words without
+    plural; ``total`` are the n-gram's occurrences.
+
+    N-grams of other than two or three words, and those that end a longer curated pattern, are left out.  The label is a
+    pattern too.  Of patterns that come up twice the most frequent n-gram's counts, ties by n-gram.
+    """
+    endings = sorted({" ".join(p[i:]) for p in D.compounds() for i in range(1, len(p))})
+    own = frequent_ngrams(ngrams, least).withColumn("_w", F.split("ngrama", " ")).where(F.size("_w").isin(2, 3) & ~F.col("ngrama").isin(endings))
+    own = own.withColumn("etiqueta", F.array_join(F.transform("_w", X.singular), " "))
+    both = F.array(F.struct(F.col("ngrama").alias("p"), F.lit(0).alias("k")), F.struct(F.col("etiqueta").alias("p"), F.lit(1).alias("k")))
+    own = own.withColumn("_p", F.explode(both))
+    first = F.min(F.struct((-F.col("total")).alias("t"), "ngrama", F.col("_p.k").alias("k"), "etiqueta"))
+    return own.groupBy(F.col("_p.p").alias("patron")).agg(first.alias("_x")).select("patron", "_x.etiqueta", (-F.col("_x.t")).alias("total"))
 
 
 def unified(terms: DataFrame, ngrams: DataFrame, *keys: str) -> DataFrame:

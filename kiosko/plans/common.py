@@ -40,13 +40,23 @@ def written(df: DataFrame, *by: str) -> DataFrame:
 
     The table is removed when the driver ends.
     """
-    spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/kiosko-{uuid.uuid4().hex}"
+    folder = scratch(df.sparkSession)
     (df.write.partitionBy(*by) if by else df.write).parquet(folder)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed with what is there when the driver ends."""
+    folder = f"{shared_folder(spark)}/kiosko-{uuid.uuid4().hex}"
+    path, fs = files(spark, folder)
+    fs.deleteOnExit(path)
+    return folder
+
+
+def files(spark: SparkSession, folder: str):
+    """(path, file system) of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def hinted(small: DataFrame, rows: int | None = None) -> DataFrame:

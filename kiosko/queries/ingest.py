@@ -93,6 +93,15 @@ def html_to_text(spark, d):
     return _pages(spark, d).select("page", ingest.html_text(F.col("html")).alias("texto"))
 
 
+def backfill_verdicts(spark, d):
+    """Pages dated two years back, on the day and a year ahead, judged against a floor and today."""
+    own = rows(spark, d)
+    shift = F.when(F.length("url") % 3 == 0, F.add_months("fecha", -24)).when(F.length("url") % 3 == 1, F.col("fecha")).otherwise(F.add_months("fecha", 12))
+    pages = own.select("url", F.concat(F.lit("<html><meta content=\""), shift.cast("string"), F.lit("T08:00:00\" property='article:published_time'></html>")).alias("html"))
+    known = own.where("fuente is null").select("url")
+    return ingest.backfilled(pages.withColumn("url", F.concat(F.lit("https://x.example/"), F.translate(F.md5("url"), "0123456789", "ghijklmnop"))), known, datetime.date(2025, 1, 1), TODAY).select("url", "fecha", "veredicto")
+
+
 def json_feed(spark, d):
     own = rows(spark, d)
     lines = own.select(F.to_json(F.struct(F.col("titulo").alias("post_title"), F.col("url").alias("post_URL"), F.concat(F.col("fecha").cast("string"), F.lit(" 08:00:00")).alias("raw_post_date"), F.lit("<p>uno</p><p>dos</p>").alias("post_content"))).alias("value"))
@@ -138,7 +147,7 @@ def spanish_dates(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     md5_ids, upsert_dedup, known_urls, date_parse_cascade, url_dates, link_filter, link_absolute, archived_urls, html_title_extract, html_paragraphs,
-    html_published, html_links, html_to_text, json_feed, body_clean, light_clean, pages_to_read, staging_checks, coverage_snapshot, source_health,
+    html_published, html_links, html_to_text, backfill_verdicts, json_feed, body_clean, light_clean, pages_to_read, staging_checks, coverage_snapshot, source_health,
     month_labels, spanish_dates,
 )}
 
@@ -165,6 +174,8 @@ ORACLE = {
     "html_paragraphs": f"WITH {Q.ART} SELECT id AS page, trim(coalesce(bajada, '')) || chr(10) || trim(titulo || ' fin') AS parrafos FROM art",
     "html_published": f"WITH {Q.ART} SELECT id AS page, fecha AS fecha_pagina FROM art",
     "html_links": f"WITH {Q.ART} SELECT id AS page, url FROM art UNION ALL SELECT id, '/portada' FROM art",
+    "backfill_verdicts": f"""WITH {Q.ART}, p AS (SELECT 'https://x.example/' || translate(md5(url), '0123456789', 'ghijklmnop') AS url, CAST(CASE length(url) % 3 WHEN 0 THEN fecha - INTERVAL 24 MONTH WHEN 1 THEN fecha ELSE fecha + INTERVAL 12 MONTH END AS DATE) AS fecha FROM art)
+      SELECT url, fecha, CASE WHEN fecha < DATE '2025-01-01' THEN 'fuera de rango' WHEN fecha > DATE '{TODAY}' + 1 THEN 'fecha futura' ELSE 'ok' END AS veredicto FROM p""",
     "json_feed": f"WITH {Q.ART} SELECT titulo, url, fecha::VARCHAR AS fecha, 'uno' || chr(10) || 'dos' AS cuerpo FROM art",
     "body_clean": f"""SELECT DISTINCT id, CASE WHEN trim(cuerpo) <> '' THEN array_to_string(list_filter(string_split(trim({_CLEAN}), ' '), lambda w: NOT list_contains({Q.listed(sorted(D.JUNK))}, w)), ' ') END AS limpio
       FROM noticias""",

@@ -114,6 +114,19 @@ def retry_counts(spark, d):
     return S.failures(old, failed, F.lit("2026-04-01 00:00:00").cast("timestamp_ntz"))
 
 
+def errors_cleared(spark, d):
+    """The error table after a run in which the articles of positive tone succeeded and the pending ones failed."""
+    old = _results(spark, d).where("id is not null").groupBy("id").agg(F.count("*").cast("int").alias("intentos"), F.max("procesado_en").alias("ultima_vez"))
+    done = S.current(_results(spark, d)).where("sentimiento = 'positivo'")
+    return S.failures(old, S.pending(rows(spark, d), _results(spark, d)).select("id"), F.lit("2026-04-01 00:00:00").cast("timestamp_ntz"), done)
+
+
+def retry_scan(spark, d):
+    """The first 500 articles to be tried again."""
+    old = _results(spark, d).where("id is not null").groupBy("id").agg(F.count("*").cast("int").alias("intentos"), F.max("procesado_en").alias("ultima_vez"))
+    return S.retries(rows(spark, d), old).orderBy("ultima_vez", "id").limit(500).select("id", "titulo", "intentos", "ultima_vez")
+
+
 def term_coverage_drift(spark, d):
     """Days whose articles differ from the day counts of the deliveries."""
     seen = tables.coverage(read(spark, d, "noticias"), "titulos")
@@ -123,7 +136,7 @@ def term_coverage_drift(spark, d):
 QUERIES = {f.__name__: f for f in (
     current_tone, sentiment_by_source, sentiment_counts, sentiment_evolution, sentiment_daily, sentiment_weekly, sentiment_net_prev, sentiment_coverage_islands,
     sentiment_meta, sentiment_page, sentiment_sources, pending_anti_join, pending_count, actor_net_tone, actor_daily, confidence_normalised, model_distribution,
-    lexicon_classify, retry_counts, term_coverage_drift,
+    lexicon_classify, retry_counts, errors_cleared, retry_scan, term_coverage_drift,
 )}
 
 _TONED = f"{Q.ART}, {Q.TONE}, toned AS (SELECT art.*, sentimiento, procesado_en, modelo, confianza FROM art JOIN tone ON art.id = tone.id)"
@@ -174,6 +187,15 @@ ORACLE = {
       FROM noticias_sentimiento WHERE id IS NOT NULL AND lower(trim(sentimiento)) IN ('positivo', 'neutral', 'negativo')) WHERE r = 1 GROUP BY ALL""",
     "retry_counts": f"""WITH {Q.TONE} SELECT s.id, (count(*) + CASE WHEN any_value(tone.id) IS NULL THEN 1 ELSE 0 END)::INTEGER AS intentos,
       CASE WHEN any_value(tone.id) IS NULL THEN TIMESTAMP '2026-04-01 00:00:00' ELSE max(s.procesado_en) END AS ultima_vez FROM noticias_sentimiento s LEFT JOIN tone ON s.id = tone.id GROUP BY s.id""",
+    "errors_cleared": f"""WITH {Q.ART}, {Q.TONE}, old AS (SELECT id, count(*) AS intentos, max(procesado_en) AS ultima_vez FROM noticias_sentimiento WHERE id IS NOT NULL GROUP BY id),
+      bad AS (SELECT id FROM art WHERE length(titulo) >= 6 AND NOT EXISTS (SELECT 1 FROM noticias_sentimiento s WHERE s.id = art.id))
+      SELECT id, intentos::INTEGER AS intentos, ultima_vez FROM old WHERE NOT EXISTS (SELECT 1 FROM tone WHERE tone.id = old.id AND sentimiento = 'positivo')
+      UNION ALL SELECT id, 1::INTEGER, TIMESTAMP '2026-04-01 00:00:00' FROM bad""",
+    "retry_scan": f"""WITH {Q.ART}, old AS (SELECT id, count(*)::INTEGER AS intentos, max(procesado_en) AS ultima_vez FROM noticias_sentimiento WHERE id IS NOT NULL GROUP BY id)
+      SELECT art.id, titulo, intentos, ultima_vez FROM art JOIN old ON art.id = old.id WHERE length(titulo) >= 6 ORDER BY ultima_vez NULLS FIRST, art.id LIMIT 500""",
+    "lexicon_classify": f"""WITH {Q.ART}, t AS (SELECT id, regexp_extract_all(titulo, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS w FROM art WHERE length(titulo) > 5),
+      c AS (SELECT id, len(list_filter(w, lambda x: regexp_matches(x, '^(?i)(inaugur|premi|celebr|rescat|estren|mejor|aprueb)'))) - len(list_filter(w, lambda x: regexp_matches(x, '^(?i)(muert|robo|incendi|estafa|condena|crisis$|azota|homicidi|rechaz)'))) AS d FROM t)
+      SELECT id, CASE WHEN d > 0 THEN 'positivo' WHEN d < 0 THEN 'negativo' ELSE 'neutral' END AS sentimiento, 'lexicon' AS modelo FROM c""",
     "term_coverage_drift": f"""WITH {Q.ART} SELECT a.fecha, a.ahora, b.antes FROM (SELECT fecha, count(*)::INTEGER AS ahora FROM art GROUP BY fecha) a
       LEFT JOIN (SELECT fecha, count(*)::INTEGER AS antes FROM noticias GROUP BY fecha) b ON a.fecha = b.fecha WHERE antes IS NULL OR antes <> ahora""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiosko.functions import dictionaries as D
@@ -10,7 +10,7 @@ from kiosko.functions import text as X
 from kiosko.operators import network as N
 from kiosko.operators import titles as O
 from kiosko.operators.dashboard import between
-from kiosko.plans.common import once, read
+from kiosko.plans.common import once, read, written
 from kiosko.queries import sql as Q
 
 DYNAMIC = 20  # occurrences from which an n-gram is a compound, in the test tables
@@ -63,8 +63,7 @@ def canonical_terms(spark, d):
 
 
 def dynamic_compounds(spark, d):
-    found = O.dynamic_compounds(read(spark, d, "titulos_ngramas_diarios"), DYNAMIC)
-    return spark.createDataFrame([(" ".join(p), name) for p, name in sorted(found.items())], "patron string, etiqueta string")
+    return O.dynamic_compounds(read(spark, d, "titulos_ngramas_diarios"), DYNAMIC).select("patron", "etiqueta")
 
 
 def terms_daily_dynamic(spark, d):
@@ -142,12 +141,19 @@ def body_ngrams_daily(spark, d):
 
 
 def clustered_top_terms(spark, d):
-    """Top terms with the vectors of the ``embeddings`` table, by rank."""
-    best = O.top(O.term_counts(O.article_terms(rows(spark, d))), "frecuencia", "termino", n=30)
-    vectors = read(spark, d, "embeddings").where("vec_id < 30").select("vec_id", F.col("embedding").alias("vector"))
-    number = F.row_number().over(Window.orderBy(F.desc("frecuencia"), "termino")) - 1  # 30 rows
-    joined = best.withColumn("vec_id", number.cast("bigint")).join(vectors, "vec_id")
-    return N.clustered_top(joined.select("termino", F.col("frecuencia").cast("bigint").alias("total"), "vector"))
+    """Top terms; near are those that meet the same others."""
+    best = written(O.top(O.term_counts(O.article_terms(rows(spark, d))), "frecuencia", "termino", n=30))
+    own = best.select("termino", F.col("frecuencia").cast("bigint").alias("total"))
+    return N.clustered_top(N.with_profiles(own, O.pair_counts(rows(spark, d), "fecha", "fuente")))
+
+
+def network_similarity(spark, d):
+    return N.profile_similarity(written(_network(spark, d)))
+
+
+def semantic_edges(spark, d):
+    edges = written(_network(spark, d))
+    return N.semantic_edges(N.profile_similarity(edges), edges, 0.3)
 
 
 def cosine_pairs(spark, d):
@@ -159,7 +165,7 @@ def cosine_pairs(spark, d):
 QUERIES = {f.__name__: f for f in (
     terms_daily, terms_by_source, daily_metrics, top_terms, title_ngrams_daily, title_ngrams_by_source, ngram_having, compound_fusion, canonical_terms,
     dynamic_compounds, terms_daily_dynamic, singular_words, cooc_pairs, cooc_network, louvain_communities, unified_terms_view, unified_by_source_view,
-    monthly_rollup, monthly_rollup_by_source, weekly_share, weekly_share_by_source, tfidf_week, body_terms_daily, body_ngrams_daily, clustered_top_terms, cosine_pairs,
+    monthly_rollup, monthly_rollup_by_source, weekly_share, weekly_share_by_source, tfidf_week, body_terms_daily, body_ngrams_daily, clustered_top_terms, network_similarity, semantic_edges, cosine_pairs,
 )}
 
 _COUNT = "count(*)::INTEGER"
@@ -180,7 +186,27 @@ def _body_grams() -> str:
     return Q.GRAMS.replace("min(titulo) AS titulo", "min(cuerpo_limpio) AS titulo")
 
 
+_NETWORK = f"""{Q.PAIRS}, p AS (SELECT fecha, fuente, termino_a, termino_b, count(*) AS n FROM pair GROUP BY ALL),
+      own AS (SELECT * FROM p WHERE termino_a NOT IN {Q.inside(sorted(D.STOPWORDS))} AND termino_b NOT IN {Q.inside(sorted(D.STOPWORDS))}),
+      best AS (SELECT t FROM (SELECT termino_a AS t FROM own UNION ALL SELECT termino_b FROM own) GROUP BY t ORDER BY count(*) DESC, t LIMIT 50),
+      edge AS (SELECT termino_a, termino_b, sum(n)::BIGINT AS peso FROM own WHERE termino_a IN (SELECT t FROM best) AND termino_b IN (SELECT t FROM best)
+        GROUP BY termino_a, termino_b HAVING sum(n) >= 5 ORDER BY peso DESC, termino_a, termino_b LIMIT 500)"""
+_SIMILAR = f"""{_NETWORK}, x AS (SELECT termino_a AS t, termino_b AS o, peso::DOUBLE AS w FROM edge UNION ALL SELECT termino_b, termino_a, peso FROM edge),
+      s AS (SELECT t, sum(w * w) AS s FROM x GROUP BY t),
+      sim AS (SELECT d.a AS termino_a, d.b AS termino_b, round(d.d / sqrt(sa.s * sb.s), 6) AS similitud FROM (SELECT a.t AS a, b.t AS b, sum(a.w * b.w) AS d FROM x a JOIN x b ON a.o = b.o AND a.t < b.t GROUP BY ALL) d
+        JOIN s sa ON d.a = sa.t JOIN s sb ON d.b = sb.t)"""
+
+_ENDINGS = sorted({" ".join(p[i:]) for p in D.compounds() for i in range(1, len(p))})
+_SINGULAR = "CASE WHEN w LIKE '%ces' AND length(w) > 4 THEN left(w, -3) || 'z' WHEN w LIKE '%es' AND length(w) > 4 THEN left(w, -2) WHEN w LIKE '%s' AND length(w) > 3 THEN left(w, -1) ELSE w END"
+
 ORACLE = {
+    "dynamic_compounds": f"""WITH g AS (SELECT ngrama, sum(n) AS total FROM titulos_ngramas_diarios WHERE tipo IN (2, 3) AND ngrama IS NOT NULL GROUP BY ngrama HAVING sum(n) >= {DYNAMIC}),
+      l AS (SELECT ngrama, total, array_to_string(list_transform(string_split(ngrama, ' '), lambda w: {_SINGULAR}), ' ') AS etiqueta FROM g
+        WHERE len(string_split(ngrama, ' ')) IN (2, 3) AND ngrama NOT IN {Q.inside(_ENDINGS)}),
+      b AS (SELECT ngrama AS patron, etiqueta, total, ngrama, 0 AS k FROM l UNION ALL SELECT etiqueta, etiqueta, total, ngrama, 1 FROM l)
+      SELECT patron, etiqueta FROM (SELECT *, row_number() OVER (PARTITION BY patron ORDER BY total DESC, ngrama, k, etiqueta) AS r FROM b) WHERE r = 1""",
+    "network_similarity": f"WITH {_SIMILAR} SELECT * FROM sim",
+    "semantic_edges": f"WITH {_SIMILAR} SELECT * FROM sim WHERE similitud >= 0.3 AND NOT EXISTS (SELECT 1 FROM edge WHERE least(edge.termino_a, edge.termino_b) = sim.termino_a AND greatest(edge.termino_a, edge.termino_b) = sim.termino_b)",
     "terms_daily": f"WITH {Q.TERMS} SELECT fecha, termino, {_COUNT} AS frecuencia FROM term GROUP BY ALL",
     "terms_by_source": f"WITH {Q.TERMS} SELECT fecha, fuente, termino, {_COUNT} AS frecuencia FROM term GROUP BY ALL",
     "daily_metrics": f"""WITH {Q.TERMS} SELECT a.fecha, a.total_noticias, coalesce(b.n, 0)::INTEGER AS terminos_unicos FROM

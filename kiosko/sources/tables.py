@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiosko.plans.common import written
+from kiosko.plans.common import files, written
 
 
 _TYPES = {
@@ -57,75 +57,121 @@ class Table:
     """A table in a folder, partitioned by ``date`` (or not at all)."""
 
     def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, date: str | None = "fecha"):
-        self.spark, self.folder, self.schema, self.date = spark, folder, schema, date
+        self.spark, self.folder, self.schema, self.date = spark, folder.rstrip("/"), schema, date
+
+    def _files(self, suffix: str = ""):
+        return files(self.spark, self.folder + suffix)
+
+    def _recover(self) -> bool:
+        """Whether the table is there.  A replacement that was cut off between its two renames is taken back."""
+        path, fs = self._files()
+        old, _ = self._files(_OLD)
+        if not fs.exists(path) and fs.exists(old):
+            fs.rename(old, path)
+        return fs.exists(path)
 
     def read(self) -> DataFrame:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        if not self._recover():
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.folder).select(self.schema.names)
 
-    def _put(self, rows: DataFrame, mode: str) -> None:
+    def _put(self, rows: DataFrame, mode: str, suffix: str = "") -> None:
         out = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
+        if self.date is not None:  # rows without a date are left out
+            out = out.where(F.col(self.date).isNotNull())
         if self.date is None:
-            out.write.mode(mode).parquet(self.folder)
-        else:
-            out.repartition(self.date).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(self.date).parquet(self.folder)
+            out.write.mode(mode).parquet(self.folder + suffix)
+        else:  # by date, a date of very many rows in several files
+            out.hint("rebalance", self.date).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(self.date).parquet(self.folder + suffix)
 
     def overwrite(self, rows: DataFrame) -> None:
-        """Replaces the whole table."""
-        fresh = written(rows)
-        self.truncate()
-        self._put(fresh, "overwrite")
+        """Replaces the whole table.  The new one is written beside the old one, which is there until two renames."""
+        self._recover()
+        path, fs = self._files()
+        new, old = self._files(_NEW)[0], self._files(_OLD)[0]
+        fs.delete(new, True)
+        self._put(rows, "overwrite", _NEW)
+        fs.delete(old, True)
+        if fs.exists(path):
+            fs.rename(path, old)
+        fs.rename(new, path)
+        fs.delete(old, True)
 
     def truncate(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, fs = self._files()
+        fs.delete(path, True)
+        fs.delete(self._files(_OLD)[0], True)
+
+    def _dates(self, rows: DataFrame) -> list[datetime.date]:
+        return [r[0] for r in rows.where(F.col(self.date).isNotNull()).select(self.date).distinct().collect()]  # one row a day
+
+    def _drop(self, days: set[datetime.date]) -> None:
+        """Removes the partitions of some days."""
+        root, fs = self._files()
+        for s in fs.listStatus(root) if fs.exists(root) else []:
+            name = s.getPath().getName()
+            if name.startswith(f"{self.date}=") and "__HIVE" not in name and datetime.date.fromisoformat(name.partition("=")[2]) in days:
+                fs.delete(s.getPath(), True)
 
     def append_new(self, rows: DataFrame, *keys: str) -> None:
-        """Inserts rows whose key isn't there yet; of rows with equal keys one."""
-        self._put(written(rows.dropDuplicates(list(keys)).join(self.read().select(*keys), list(keys), "left_anti")), "append")
+        """Inserts rows whose key isn't there yet; of rows with equal keys the least."""
+        self._put(written(least_of(rows.select(self.schema.names), *keys).join(self._with_dates_of(rows, keys).select(*keys), list(keys), "left_anti")), "append")
+
+    def _with_dates_of(self, rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        """The rows of the table that may have the keys of ``rows``: if the date is one of the keys, only those of its dates."""
+        old = self.read()
+        return old.where(F.col(self.date).isin(self._dates(rows))) if self.date in keys else old
 
     def upsert(self, rows: DataFrame, *keys: str, keep: tuple[str, ...] = ()) -> None:
         """Inserts rows, or updates those with equal keys; ``keep`` columns keep the older value.
 
-        The keys must include the partition date or determine it; the batch has one row a key (the least of equals).
+        The batch is written first, with one row a key (the least of equals).  If the keys hold the partition date, only
+        the dates of the batch are read; else the keys and dates of the whole table are, to find the rows to replace.
+        Only partitions that change are written.
         """
-        rows = rows.dropDuplicates(list(keys))
-        old = self.read()
+        rows = written(least_of(rows.select(self.schema.names), *keys))
+        old = self._with_dates_of(rows, keys)
         if keep:
             before = old.select(*keys, *[F.col(c).alias(f"_{c}") for c in keep])
-            rows = rows.join(before, list(keys), "left").withColumns({c: F.coalesce(f"_{c}", c) for c in keep}).drop(*[f"_{c}" for c in keep])
-        if self.date is not None:
-            touched = rows.select(self.date).union(old.join(rows.select(*keys), list(keys), "left_semi").select(self.date)).distinct()
-            old = old.join(touched, self.date, "left_semi")
-        rest = old.join(rows.select(*keys), list(keys), "left_anti")
-        fresh = written(rest.select(self.schema.names).unionByName(rows.select(self.schema.names)))
+            rows = written(rows.join(before, list(keys), "left").withColumns({c: F.coalesce(f"_{c}", c) for c in keep}).select(self.schema.names))
+        if self.date is None:
+            self.overwrite(written(old.join(rows.select(*keys), list(keys), "left_anti").unionByName(rows)))
+            return
+        touched = set(self._dates(rows)) | (set() if self.date in keys else set(self._dates(old.join(rows.select(*keys), list(keys), "left_semi"))))
+        rest = self.read().where(F.col(self.date).isin(sorted(touched))).join(rows.select(*keys), list(keys), "left_anti")
+        self._replace(rest.unionByName(rows), touched)
+
+    def _replace(self, rows: DataFrame, days: set[datetime.date]) -> None:
+        """Puts ``rows`` in the place of all rows of ``days``."""
+        fresh = written(rows)
         self._put(fresh, "overwrite")
+        self._drop(days - set(self._dates(fresh)))
 
     def rewrite_from(self, rows: DataFrame, start: datetime.date) -> None:
         """Deletes all rows of ``start`` and later and inserts ``rows``, which must be of such dates."""
-        fresh = written(rows.where(F.col(self.date) >= F.lit(start)))
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.folder)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        self._put(fresh, "overwrite")
-        new = {r[0] for r in fresh.select(self.date).distinct().collect()}  # one row a day
-        if fs.exists(root):
-            for s in fs.listStatus(root):
-                name = s.getPath().getName()
-                if name.startswith(f"{self.date}=") and "__HIVE" not in name:
-                    day = datetime.date.fromisoformat(name.partition("=")[2])
-                    if day >= start and day not in new:
-                        fs.delete(s.getPath(), True)
+        late = {d for d in self._dates(self.read()) if d >= start}
+        self._replace(rows.where(F.col(self.date) >= F.lit(start)), late)
 
     def delete_with(self, gone: DataFrame, *keys: str) -> None:
-        """Deletes the rows whose key is in ``gone`` (a cascade)."""
-        fresh = written(self.read().join(gone.select(*keys), list(keys), "left_anti"))
-        self.truncate()
-        self._put(fresh, "overwrite")
+        """Deletes the rows whose key is in ``gone`` (a cascade); only the dates that have such rows are rewritten."""
+        gone = written(gone.select(*keys).distinct())
+        old = self.read()
+        if self.date is None:
+            self.overwrite(written(old.join(gone, list(keys), "left_anti")))
+            return
+        touched = set(self._dates(old.join(gone, list(keys), "left_semi")))
+        self._replace(old.where(F.col(self.date).isin(sorted(touched))).join(gone, list(keys), "left_anti"), touched)
+
+
+_NEW, _OLD = "__new", "__old"
+
+
+def least_of(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row a key, the least of equals by its other columns in order; combined before the shuffle."""
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    return rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_x")).select(*keys, "_x.*").select(rows.columns)
 
 
 def first_of(rows: DataFrame, keys: list[str], *order) -> DataFrame:

@@ -84,6 +84,18 @@ def test_communities_and_clusters():
     assert N.complete_linkage(d, 0.4) == [1, 1, 2]
 
 
+def test_profiles(spark):
+    pairs = spark.createDataFrame([("a", "c", 5), ("b", "c", 5), ("a", "d", 5), ("b", "d", 5), ("x", "y", 9), ("c", "d", 7)], "termino_a string, termino_b string, n int")
+    edges = pairs.withColumnRenamed("n", "peso")
+    like = N.profile_similarity(edges)
+    assert {(r.termino_a, r.termino_b): r.similitud for r in like.collect()}["a", "b"] == 1.0
+    assert ("a", "b") in {(r.termino_a, r.termino_b) for r in N.semantic_edges(like, edges, 0.9).collect()}
+    assert ("c", "d") not in {(r.termino_a, r.termino_b) for r in N.semantic_edges(like, edges, 0.0).collect()}
+    top = spark.createDataFrame([(t, n) for n, t in enumerate("abcdxy", 1)], "termino string, total bigint")
+    merged = {r.terminos for r in N.clustered_top(N.with_profiles(top, pairs)).collect()}
+    assert "y, x" in merged and not any({"x", "a"} <= set(m.split(", ")) for m in merged)
+
+
 def test_similar_in_blocks(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
@@ -110,6 +122,60 @@ def test_html():
     assert ingest.plain_text("<p>Uno &amp; dos</p><script>x</script><p>tres<br>cuatro</p>") == "Uno & dos\ntres\ncuatro"
 
 
+def test_meta_in_either_order(spark):
+    pages = [("<meta name='a.b' content='uno'>", "uno"), ('<META content="d\'os" property="a.b">', "d'os"), ("<meta name='axb' content='tres'>", None), ("", None), (None, None)]
+    df = spark.createDataFrame(pages, "html string, want string").withColumn("got", ingest.attribute(F.col("html"), "a.b"))
+    assert all(r.got == r.want for r in df.collect())
+
+
+def test_dates_out_of_bounds(spark):
+    days = [(D(2020, 1, 1), "fuera de rango"), (D(2026, 1, 1), "ok"), (D(2026, 1, 3), "ok"), (D(2026, 1, 4), "fecha futura"), (None, "sin fecha")]
+    df = spark.createDataFrame(days, "d date, want string").withColumn("got", ingest.date_verdict(F.col("d"), D(2025, 1, 1), D(2026, 1, 2)))
+    assert all(r.got == r.want for r in df.collect())
+
+
+def test_failures_are_cleared(spark):
+    old = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x")], "id string, intentos int, ultima_vez string")
+    ids = spark.createDataFrame([("b",), ("c",)], "id string")
+    done = spark.createDataFrame([("a",), (None,)], "id string")
+    assert {(r.id, r.intentos, r.ultima_vez) for r in S.failures(old, ids, F.lit("y"), done).collect()} == {("b", 3, "y"), ("c", 1, "y")}
+
+
+def test_a_run_that_goes_on(spark, tmp_path):
+    rows = spark.createDataFrame([(f"i{n}", "Inauguran una obra" if n % 3 else "Falla siempre", D(2024, 1, 1 + n)) for n in range(9)] + [("z", None, None)], "id string, titulo string, fecha date")
+    t = tables.Table(spark, str(tmp_path / "s"), tables.SCHEMAS["noticias_sentimiento"], None)
+
+    def ask(text):
+        return "nada" if "Falla" in text else S.lexicon_answer(text)
+
+    assert S.run_pending(rows, t, ask, chunk=2, limit=4)[0] == 4
+    S.run_pending(rows, t, lambda x: S.lexicon_answer(x), chunk=2)
+    assert t.read().count() == 9 and S.run_pending(rows, t) == (0, 0, 0)
+
+
+def test_problems_of_sources(spark):
+    days = [("a", D(2024, 1, 1)), ("a", D(2024, 3, 1)), ("b", D(2024, 1, 5)), ("c", D(2024, 3, 2)), ("d", D(2024, 3, 2))]
+    own = B.source_status(B.gaps(spark.createDataFrame(days, "fuente string, fecha date")), D(2024, 3, 2), known={"d": "roto"})
+    got = {r.fuente: (r.estado, r.problema) for r in own.collect()}
+    assert got["a"] == ("gap", "⚠ Gap de datos: sin noticias del 02-01-2024 al 29-02-2024 (59 días).")
+    assert got["b"] == ("malo", "⛔ Inactivo: sin noticias desde el 05-01-2024.") and got["c"] == ("ok", "") and got["d"] == ("malo", "⛔ roto")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from kiosko.plans.common import shared_folder
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda *_: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda *_: None)))
+
+    assert shared_folder(session("spark://x", "hdfs://y")) == "hdfs://y"
+    for master in ("spark://x", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            shared_folder(session(master))
+
+
 def _table(spark, tmp_path, name="titulos_terminos_diarios"):
     return tables.Table(spark, str(tmp_path / name), tables.SCHEMAS[name])
 
@@ -126,10 +192,24 @@ def test_upsert_and_rewrite(spark, tmp_path):
     assert {tuple(r) for r in t.read().collect()} == {(D(2024, 1, 1), "a", 1), (D(2024, 1, 3), "e", 7)}
     t.delete_with(spark.createDataFrame([("e",)], "termino string"), "termino")
     assert t.read().count() == 1
+    t.overwrite(make([(D(2024, 1, 1), "x", 1)]))
+    path, fs = t._files()
+    fs.rename(path, t._files("__old")[0])  # a replacement that was cut off
+    assert t.read().count() == 1
+    t.upsert(make([(None, "x", 1), (D(2024, 1, 9), "y", 3), (D(2024, 1, 9), "y", 2)]), "fecha", "termino")
+    assert {tuple(r) for r in t.read().collect()} == {(D(2024, 1, 1), "x", 1), (D(2024, 1, 9), "y", 2)}
     t.truncate()
     assert t.read().count() == 0
 
 
+def test_upsert_moves_a_row_to_another_date(spark, tmp_path):
+    t = tables.Table(spark, str(tmp_path / "m"), tables.SCHEMAS["noticias_embeddings_meta"].add("fecha", "date"))
+    make = lambda rows: spark.createDataFrame(rows, t.schema)
+    t.upsert(make([("a", None, "m", 1, D(2024, 1, 1)), ("b", None, "m", 1, D(2024, 1, 2))]), "id")
+    t.upsert(make([("a", None, "n", None, D(2024, 1, 3))]), "id", keep=("store_version",))
+    assert {(r.id, r.modelo, r.store_version, r.fecha.day) for r in t.read().collect()} == {("a", "n", 1, 3), ("b", "m", 1, 2)}
+
+
 def test_incremental_equals_full(spark, tmp_path):
     from kiosko.operators import titles as O
 

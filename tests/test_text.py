@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from kiosko.functions import dates
 from kiosko.functions import dictionaries as D
 from kiosko.functions import text as X
+from kiosko.functions.stem import stem
 from kiosko.operators import titles as O
 
 # invented titles
@@ -46,10 +47,14 @@ def test_daily_equals_sum_by_source_and_both_fusions_agree(spark):
     for r in O.term_counts(O.article_terms(own), "fecha", "fuente").collect():
         by[r.fecha, r.termino] = by.get((r.fecha, r.termino), 0) + r.frecuencia
     assert day == by
-    dynamic = D.dynamic_compounds(["incendios forestales", "antonio kast", "gabriel boric"], D.compounds())
-    assert dynamic[("incendios", "forestales")] == "incendio forestal" and ("antonio", "kast") not in dynamic
-    found = {r.termino for r in O.article_terms(own, dynamic).collect()}
-    assert "incendio forestal" in found and "Gabriel Boric" in found
+    ngrams = spark.createDataFrame([("incendios forestales", 9, 2), ("antonio kast", 8, 2), ("gabriel boric", 7, 2), ("raro caso", 1, 2), (None, 50, 2)], "ngrama string, n int, tipo int")
+    dynamic = O.dynamic_compounds(ngrams, 5)
+    labels = {r.patron: r.etiqueta for r in dynamic.collect()}
+    assert labels == {"incendios forestales": "incendio forestal", "incendio forestal": "incendio forestal", "gabriel boric": "gabriel boric"}
+    found = [sorted((r.id, r.termino) for r in O.article_terms(own, dynamic, most=most).collect()) for most in (200_000, 0)]
+    assert found[0] == found[1]  # by a broadcast dictionary and by a join
+    assert ("n3", "incendio forestal") in found[0] and ("n1", "Gabriel Boric") in found[0]
+    assert O.article_terms(own.limit(0), dynamic, most=0).count() == 0
 
 
 def test_ngrams(spark):
@@ -71,9 +76,18 @@ def test_pairs(spark):
     assert n == {"n1": 6, "n2": 15, "n3": 15, "n4": 6, "n6": 6, "n7": 10}
 
 
-def test_singular():
+def test_singular(spark):
     words = "luces veces incendios forestales presidentes crisis gas tres".split()
-    assert [D.singular(w) for w in words] == "luz vez incendio forestal president crisi gas tre".split()
+    df = spark.createDataFrame([(w,) for w in words], "w string").select(X.singular(F.col("w")).alias("s"))
+    assert [r.s for r in df.collect()] == "luz vez incendio forestal president crisi gas tre".split()
+
+
+def test_stems():
+    # of the published sample vocabulary
+    pairs = """chicas chic chicharrones chicharron chico chic cheque chequ torear tor torres torr torpeza torpez tórax torax
+        lentamente lent diciéndolo dic constituyendo constitu pague pag evidencia evident actividad activ comunicaciones comun""".split()
+    assert [stem(w) for w in pairs[::2]] == pairs[1::2]
+    assert [stem(w) for w in ("", "y", "de", "sol")] == ["", "y", "de", "sol"]
 
 
 def test_fusion_never_adds_tokens():
