@@ -26,7 +26,7 @@ LINE = ("marcas_propias", "orden_propio", "columna_propia", "apertura_propia", "
 #: Knots of each figure's piecewise linear part: these quantiles of the sample.
 KNOTS = (0.1, 0.3, 0.5, 0.7, 0.9)
 #: Log odds from which on a line is marked as one of a table or list.
-MARKED = 1.0
+MARKED = 1.5
 #: A block of fewer lines has no layout.
 LEAST_LINES = 3
 

@@ -19,6 +19,8 @@ VOWELS = set("aeiouyáéíóúüàèìòùâêôãõäëïö")
 BUCKETS = 1 << 16
 END, DOC = 1, 2
 LONGEST_WORD = 40
+#: Words are compared with those up to so many words further on, in segments of so many words or more.
+LAGS, LEAST_REPEATED = 8, 8
 #: Texts are worked on in batches of about so many characters; a longer text in parts of whole lines.
 BATCH = 1 << 20
 #: Chunks that a lexicon keeps; beyond, it starts anew with the next batch.
@@ -156,6 +158,19 @@ class Segments:
         edge = ~self.body & same  # what stands before a line's end
         return np.concatenate([f[keep], mix(before2[edge], before[edge], c[edge])]), np.concatenate([s[keep], self.seg[edge]])
 
+    def repeated(self) -> np.ndarray:
+        """By segment, the share of its words that are the word ``lag`` words further on, at the best of the lags 1 to
+        ``LAGS``; 0 for fewer than ``LEAST_REPEATED`` words."""
+        at = np.flatnonzero(self.word)
+        cls, seg = self.cls[at], self.seg[at]
+        k = len(self.starts)
+        count = np.bincount(seg, minlength=k)
+        best = np.zeros(k)
+        for lag in range(1, LAGS + 1):
+            hit = (cls[lag:] == cls[:-lag]) & (seg[lag:] == seg[:-lag])
+            best = np.maximum(best, np.bincount(seg[:-lag][hit], minlength=k) / np.maximum(count - lag, 1))
+        return np.where(count >= LEAST_REPEATED, best, 0)
+
     def lines(self) -> np.ndarray:
         """The number of each token's line."""
         end = ~self.body

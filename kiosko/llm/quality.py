@@ -31,6 +31,9 @@ from kiosko.llm.consistent import consistent
 SAMPLE_DOCS = 4000
 SAMPLE_CHARS = 20_000
 
+#: Share of words that are the word a period further on, from which a segment is no sentence.
+REPEATED = 0.6
+
 FIGURES = (
     "palabras bigint, largo_medio double, simbolos double, lineas_puntuadas double, comunes double, "
     "alineadas double, periodicidad double, autocorrelacion double, marcada double, prosa double"
@@ -61,7 +64,11 @@ def spans(s: P.Segments, lines: L.Lines, model: Model) -> np.ndarray:
 
 
 def sentences(s: P.Segments, model: Model) -> np.ndarray:
-    """Which segments are sentences."""
+    """Which segments are sentences.  One that says the same words again and again is none, whatever they are."""
+    return _worded(s, model) & (s.repeated() < REPEATED)
+
+
+def _worded(s: P.Segments, model: Model) -> np.ndarray:
     if model.weights is not None:
         return P.segment_scores(s, model.weights) > 0
     said, shared = s.sums(s.word.astype(float)), s.sums(s.common.astype(float))
@@ -157,8 +164,9 @@ def figures(texts: list[str], model: Model, lexicon: P.Lexicon) -> pd.DataFrame:
 
 
 def quality(documents: DataFrame, labels: DataFrame, common_words: DataFrame, docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(doc_id, the figures, es_prosa) for every row of ``documents`` (doc_id, text)."""
-    common = frozenset(r[0].lower() for r in common_words.select("palabra").where("palabra is not null").distinct().limit(10_000).collect())
+    """(doc_id, the figures, es_prosa) for every row of ``documents`` (doc_id, text).  ``common_words`` is a stated list (of
+    some hundred words a language) and is broadcast whole."""
+    common = frozenset(r[0].lower() for r in common_words.select("palabra").where("palabra is not null").distinct().collect())
     shared = documents.sparkSession.sparkContext.broadcast(fit_model(documents, labels, common, docs))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

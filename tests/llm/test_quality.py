@@ -86,3 +86,9 @@ def test_held_out_accuracy():
     model.detector = L.Detector([np.zeros(0)] * len(model.detector.knots), np.zeros(len(model.detector.knots)), np.ones(len(model.detector.knots)), np.append(np.zeros(len(model.detector.knots)), -9.0))
     other = Q.figures(texts[half:], model, P.Lexicon(model.known, COMMON)).prosa.to_numpy() >= 0.5
     assert (other != prose).sum() > 0.3 * (~prose).sum()
+
+
+def test_the_same_words_again_and_again_are_no_sentence():
+    model = Q.Model(None, np.append(np.zeros(P.BUCKETS), 1.0), frozenset(), COMMON)  # every segment would be a sentence
+    f = Q.figures(["ver más " * 40, "uno dos tres cuatro " * 20, prose(random.Random(2)), "no no no"], model, P.Lexicon(common=COMMON))
+    assert list(f.prosa) == [0, 0, 1, 1]
