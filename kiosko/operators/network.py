@@ -71,6 +71,16 @@ def louvain(edges: list[tuple[str, str]]) -> dict[str, int]:
     return {v: number.setdefault(member[v], len(number) + 1) for v in names}
 
 
+def modularity_of(edges: list[tuple[str, str]], member: dict[str, int]) -> float:
+    """The modularity of a bounded graph."""
+    mass: dict[int, int] = {}
+    for e in edges:
+        for v in e:
+            mass[member[v]] = mass.get(member[v], 0) + 1
+    m = len(edges)
+    return sum(member[a] == member[b] for a, b in edges) / m - sum(x * x for x in mass.values()) / (4 * m * m) if m else 0.0
+
+
 def communities(edges: DataFrame) -> DataFrame:
     """(termino, comunidad, grado) of the nodes of a ``network`` (at most its ``edges``, which one task holds)."""
 
@@ -83,6 +93,19 @@ def communities(edges: DataFrame) -> DataFrame:
     return edges.groupBy().applyInPandas(run, "termino string, comunidad int, grado int")
 
 
+def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
+    """(nodos, aristas, comunidades, modularidad) of communities (termino, comunidad) of an unweighted graph."""
+    degree = edges.select(F.explode(F.array("termino_a", "termino_b")).alias("termino")).groupBy("termino").agg(F.count("*").alias("g"))
+    own = members.select("termino", "comunidad")
+    by = own.join(degree, "termino").groupBy("comunidad").agg(F.sum("g").alias("g"))
+    ends = edges.join(own.withColumnsRenamed({"termino": "termino_a", "comunidad": "ca"}), "termino_a").join(own.withColumnsRenamed({"termino": "termino_b", "comunidad": "cb"}), "termino_b")
+    inside = ends.agg(F.count("*").alias("aristas"), F.sum(F.when(F.col("ca") == F.col("cb"), 1).otherwise(0)).alias("dentro"))
+    total = by.agg(F.count("*").alias("comunidades"), F.sum(F.col("g").cast("double") * F.col("g")).alias("s"))
+    rest = inside.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(own.agg(F.countDistinct("termino").alias("nodos"))))  # one row each
+    q = F.col("dentro") / F.col("aristas") - F.col("s") / (4.0 * F.col("aristas") * F.col("aristas"))
+    return rest.select("nodos", "aristas", "comunidades", F.round(q, 6).alias("modularidad"))
+
+
 def complete_linkage(distance: np.ndarray, height: float) -> list[int]:
     """Clusters of complete linkage cut at ``height``: numbered from 1 by first member.  For some dozen items."""
     groups = [[i] for i in range(len(distance))]

@@ -38,6 +38,21 @@ def parse_answer(text: str | None, n: int) -> list[str] | None:
     return [v if (v := found.get(str(i), "neutral").lower()) in TONES else "neutral" for i in range(1, n + 1)]
 
 
+def parsed(answers: DataFrame) -> DataFrame:
+    """(lote, numero, sentimiento) of (lote, respuesta, n): a row for each of the n labels; an answer that can't be read
+    gives one row with nulls."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for batch, text, n in zip(f["lote"], f["respuesta"], f["n"], strict=True):
+                labels = parse_answer(text, int(n))
+                out += [(batch, None, None)] if labels is None else [(batch, i, x) for i, x in enumerate(labels, 1)]
+            yield pd.DataFrame(out, columns=["lote", "numero", "sentimiento"]).astype({"numero": "Int32"})
+
+    return answers.select(F.col("lote").cast("string"), "respuesta", "n").mapInPandas(run, "lote string, numero int, sentimiento string")
+
+
 def prompt(titles: list[str]) -> str:
     lines = "\n".join(f"{i}. {t}" for i, t in enumerate(titles, 1))
     return f"Clasifica el tono de cada titular como {', '.join(TONES)}. Responde un objeto JSON de número a tono.\n{lines}"

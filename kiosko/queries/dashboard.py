@@ -19,6 +19,7 @@ SOURCE = "diariocoiron"
 WORDS = ["hospital", "escuela", "senado"]
 COMMON = ["País", "villa", "quebrada"]
 KNOWN = {SOURCE: "Captura interrumpida por el sitio."}
+STATEMENTS = ["Consulta: SELECT id FROM noticias -- ", "SELECT created_at FROM noticias -- ", "drop table noticias -- ", "select fecha from noticias limit 5 -- "]
 GAP = 2  # days from which a gap or inactivity is reported in the test tables
 
 
@@ -172,6 +173,13 @@ def all_term_totals(spark, d):
     return B.term_totals(_terms(spark, d), sorted(D.STOPWORDS))
 
 
+def guarded_sql(spark, d):
+    """Generated statements about each source, some of which change data, some without a limit."""
+    own = rows(spark, d).select("fuente").distinct()
+    text = F.explode(F.array(*[F.concat(F.lit("```sql\n" + k), F.col("fuente"), F.lit("```")) for k in STATEMENTS]))
+    return own.select("fuente", text.alias("respuesta")).select("fuente", "respuesta", router.guarded_column(F.col("respuesta")).alias("sql"))
+
+
 def clamped_range(spark, d):
     """The range that is asked, within the dates that there are."""
     last = rows(spark, d).agg(F.max("fecha")).first()[0]  # one row
@@ -192,7 +200,7 @@ QUERIES = {f.__name__: f for f in (
     date_range, corpus_size, distinct_terms, top_terms_10, top_terms_source, top_term_per_source, routed_top_terms, evolution_terms, evolution_source,
     evolution_yearly, volume_day, volume_summary, volume_period_source, source_totals, source_share_by_year, term_search_prefix, term_search_stems,
     title_search_word, title_search_any, news_page, news_page_ascending, news_count, concept_by_source_dense, gap_diagnostics, source_status, last_dates,
-    recent_articles, source_labels, routed_monthly_terms, all_term_totals, clamped_range,
+    recent_articles, source_labels, routed_monthly_terms, all_term_totals, guarded_sql, clamped_range,
 )}
 
 _T = "titulos_terminos_por_medio"
@@ -246,6 +254,8 @@ ORACLE = {
     "routed_monthly_terms": f"""SELECT termino, sum(frecuencia)::BIGINT AS total FROM {_T} WHERE date_trunc('month', fecha) BETWEEN DATE '{END}' - 200 AND DATE '{END}' AND termino NOT IN {_STOP}
       GROUP BY termino ORDER BY 2 DESC, 1 LIMIT 30""",
     "all_term_totals": f"SELECT termino, sum(frecuencia)::BIGINT AS total FROM {_T} WHERE termino NOT IN {_STOP} GROUP BY termino",
+    "guarded_sql": f"""WITH {Q.ART}, s AS (SELECT DISTINCT fuente FROM art), k AS (SELECT unnest({Q.listed(STATEMENTS)}) AS k)
+      SELECT fuente, '```sql' || chr(10) || k || fuente || '```' AS respuesta, CASE WHEN k LIKE 'Consulta%' THEN substr(k, 11) || fuente || ' LIMIT 30' WHEN k LIKE 'select%' THEN k || fuente END AS sql FROM s, k""",
     "clamped_range": f"WITH {Q.ART} SELECT DATE '2018-01-01' AS desde, least(max(fecha), DATE '{END}') AS hasta, 'year' AS detalle FROM art",
     "last_dates": f"WITH {Q.ART} SELECT fuente, max(fecha) AS ultima, min(fecha) AS primera FROM art GROUP BY fuente",
     "recent_articles": f"WITH {Q.ART} SELECT id, fecha FROM art WHERE fecha BETWEEN DATE '{END}' - 7 AND DATE '{END}'",

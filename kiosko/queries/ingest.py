@@ -90,7 +90,12 @@ def html_links(spark, d):
 
 
 def html_to_text(spark, d):
-    return _pages(spark, d).select("page", ingest.html_text(F.col("html")).alias("texto"))
+    """Of pages whose texts are escaped, as HTML has them."""
+    safe = lambda c: F.replace(F.replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&#62;"))
+    own = rows(spark, d).where("titulo is not null")
+    head, first, last = F.concat(F.lit("<head><style>p {color: red}</style><title>"), safe("titulo"), F.lit("</title></head>")), safe("bajada"), safe("titulo")
+    html = F.concat(head, F.lit("<body><script>var x = '<p>no</p>';</script><p class='x'>"), first, F.lit("</p><div>uno<br>dos</div><ul><li>"), last, F.lit(" <b>fin</b></li></ul></body>"))
+    return own.select(F.col("id").alias("page"), ingest.html_text(html).alias("texto"))
 
 
 def backfill_verdicts(spark, d):
@@ -173,6 +178,8 @@ ORACLE = {
     "html_title_extract": f"WITH {Q.ART} SELECT id AS page, nullif(trim(titulo), '') AS titulo_html, fecha::VARCHAR AS publicado FROM art",
     "html_paragraphs": f"WITH {Q.ART} SELECT id AS page, trim(coalesce(bajada, '')) || chr(10) || trim(titulo || ' fin') AS parrafos FROM art",
     "html_published": f"WITH {Q.ART} SELECT id AS page, fecha AS fecha_pagina FROM art",
+    "html_to_text": f"""WITH {Q.ART}, l AS (SELECT id AS page, [titulo, coalesce(bajada, ''), 'uno', 'dos', titulo || ' fin'] AS l FROM art WHERE titulo IS NOT NULL)
+      SELECT page, array_to_string(list_filter(list_transform(l, lambda x: trim(regexp_replace(x, '[\\s\\p{{Z}}\\x{{85}}\\x{{1c}}-\\x{{1f}}\\v]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS texto FROM l""",
     "html_links": f"WITH {Q.ART} SELECT id AS page, url FROM art UNION ALL SELECT id, '/portada' FROM art",
     "backfill_verdicts": f"""WITH {Q.ART}, p AS (SELECT 'https://x.example/' || translate(md5(url), '0123456789', 'ghijklmnop') AS url, CAST(CASE length(url) % 3 WHEN 0 THEN fecha - INTERVAL 24 MONTH WHEN 1 THEN fecha ELSE fecha + INTERVAL 12 MONTH END AS DATE) AS fecha FROM art)
       SELECT url, fecha, CASE WHEN fecha < DATE '2025-01-01' THEN 'fuera de rango' WHEN fecha > DATE '{TODAY}' + 1 THEN 'fecha futura' ELSE 'ok' END AS veredicto FROM p""",

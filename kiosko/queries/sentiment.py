@@ -114,6 +114,19 @@ def retry_counts(spark, d):
     return S.failures(old, failed, F.lit("2026-04-01 00:00:00").cast("timestamp_ntz"))
 
 
+def answers_parsed(spark, d):
+    """An answer for each article with a tone, about two titles, in the three shapes and one that can't be read."""
+    own = S.current(_results(spark, d))
+    shape, label = F.length("id") + F.ascii(F.col("id")), F.col("sentimiento")
+    text = (
+        F.when(shape % 4 == 0, F.concat(F.lit('{"1": "'), label, F.lit('", "2": "otro"}')))
+        .when(shape % 4 == 1, F.concat(F.lit('sin llave "2": "'), label, F.lit('"')))
+        .when(shape % 4 == 2, F.concat(F.lit("1. "), F.upper(label), F.lit("\n")))
+        .otherwise("nada")
+    )
+    return S.parsed(own.select(F.col("id").alias("lote"), text.alias("respuesta"), F.lit(2).alias("n")))
+
+
 def errors_cleared(spark, d):
     """The error table after a run in which the articles of positive tone succeeded and the pending ones failed."""
     old = _results(spark, d).where("id is not null").groupBy("id").agg(F.count("*").cast("int").alias("intentos"), F.max("procesado_en").alias("ultima_vez"))
@@ -136,7 +149,7 @@ def term_coverage_drift(spark, d):
 QUERIES = {f.__name__: f for f in (
     current_tone, sentiment_by_source, sentiment_counts, sentiment_evolution, sentiment_daily, sentiment_weekly, sentiment_net_prev, sentiment_coverage_islands,
     sentiment_meta, sentiment_page, sentiment_sources, pending_anti_join, pending_count, actor_net_tone, actor_daily, confidence_normalised, model_distribution,
-    lexicon_classify, retry_counts, errors_cleared, retry_scan, term_coverage_drift,
+    lexicon_classify, retry_counts, answers_parsed, errors_cleared, retry_scan, term_coverage_drift,
 )}
 
 _TONED = f"{Q.ART}, {Q.TONE}, toned AS (SELECT art.*, sentimiento, procesado_en, modelo, confianza FROM art JOIN tone ON art.id = tone.id)"
@@ -187,6 +200,9 @@ ORACLE = {
       FROM noticias_sentimiento WHERE id IS NOT NULL AND lower(trim(sentimiento)) IN ('positivo', 'neutral', 'negativo')) WHERE r = 1 GROUP BY ALL""",
     "retry_counts": f"""WITH {Q.TONE} SELECT s.id, (count(*) + CASE WHEN any_value(tone.id) IS NULL THEN 1 ELSE 0 END)::INTEGER AS intentos,
       CASE WHEN any_value(tone.id) IS NULL THEN TIMESTAMP '2026-04-01 00:00:00' ELSE max(s.procesado_en) END AS ultima_vez FROM noticias_sentimiento s LEFT JOIN tone ON s.id = tone.id GROUP BY s.id""",
+    "answers_parsed": f"""WITH {Q.TONE}, t AS (SELECT id, sentimiento, (length(id) + ascii(id)) % 4 AS k FROM tone)
+      SELECT id AS lote, 1::INTEGER AS numero, CASE WHEN k IN (0, 2) THEN sentimiento ELSE 'neutral' END AS sentimiento FROM t WHERE k < 3
+      UNION ALL SELECT id, 2, CASE WHEN k = 1 THEN sentimiento ELSE 'neutral' END FROM t WHERE k < 3 UNION ALL SELECT id, NULL, NULL FROM t WHERE k = 3""",
     "errors_cleared": f"""WITH {Q.ART}, {Q.TONE}, old AS (SELECT id, count(*) AS intentos, max(procesado_en) AS ultima_vez FROM noticias_sentimiento WHERE id IS NOT NULL GROUP BY id),
       bad AS (SELECT id FROM art WHERE length(titulo) >= 6 AND NOT EXISTS (SELECT 1 FROM noticias_sentimiento s WHERE s.id = art.id))
       SELECT id, intentos::INTEGER AS intentos, ultima_vez FROM old WHERE NOT EXISTS (SELECT 1 FROM tone WHERE tone.id = old.id AND sentimiento = 'positivo')

@@ -92,6 +92,20 @@ def louvain_communities(spark, d):
     return N.communities(_network(spark, d))
 
 
+def louvain_validity(spark, d):
+    """Whether the communities are a division of the network that is better than none: every node in one, modularity
+    above that of a single community (0), and none merges with another to a higher one."""
+    edges = written(_network(spark, d))
+    found = written(N.communities(edges))
+    row = N.modularity(edges, found).first()  # one row
+    member = {r.termino: r.comunidad for r in found.collect()}  # at most twice the network's edges
+    pairs = [(r.termino_a, r.termino_b) for r in edges.collect()]
+    best = N.modularity_of(pairs, member)
+    kinds = sorted(set(member.values()))
+    better = sum(N.modularity_of(pairs, {t: a if c == b else c for t, c in member.items()}) > best + 1e-9 for i, a in enumerate(kinds) for b in kinds[i + 1 :])
+    return spark.createDataFrame([(row.nodos, row.aristas, row.modularidad > 0, abs(best - row.modularidad) < 1e-5, better)], "nodos bigint, aristas bigint, mejor_que_una boolean, coincide boolean, uniones_mejores bigint")
+
+
 def _terms(spark, d):
     return read(spark, d, "titulos_terminos_por_medio")
 
@@ -164,7 +178,7 @@ def cosine_pairs(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     terms_daily, terms_by_source, daily_metrics, top_terms, title_ngrams_daily, title_ngrams_by_source, ngram_having, compound_fusion, canonical_terms,
-    dynamic_compounds, terms_daily_dynamic, singular_words, cooc_pairs, cooc_network, louvain_communities, unified_terms_view, unified_by_source_view,
+    dynamic_compounds, terms_daily_dynamic, singular_words, cooc_pairs, cooc_network, louvain_communities, louvain_validity, unified_terms_view, unified_by_source_view,
     monthly_rollup, monthly_rollup_by_source, weekly_share, weekly_share_by_source, tfidf_week, body_terms_daily, body_ngrams_daily, clustered_top_terms, network_similarity, semantic_edges, cosine_pairs,
 )}
 
@@ -205,6 +219,7 @@ ORACLE = {
         WHERE len(string_split(ngrama, ' ')) IN (2, 3) AND ngrama NOT IN {Q.inside(_ENDINGS)}),
       b AS (SELECT ngrama AS patron, etiqueta, total, ngrama, 0 AS k FROM l UNION ALL SELECT etiqueta, etiqueta, total, ngrama, 1 FROM l)
       SELECT patron, etiqueta FROM (SELECT *, row_number() OVER (PARTITION BY patron ORDER BY total DESC, ngrama, k, etiqueta) AS r FROM b) WHERE r = 1""",
+    "louvain_validity": f"WITH {_NETWORK} SELECT (SELECT count(DISTINCT t) FROM (SELECT termino_a AS t FROM edge UNION ALL SELECT termino_b FROM edge)) AS nodos, count(*) AS aristas, true AS mejor_que_una, true AS coincide, 0::BIGINT AS uniones_mejores FROM edge",
     "network_similarity": f"WITH {_SIMILAR} SELECT * FROM sim",
     "semantic_edges": f"WITH {_SIMILAR} SELECT * FROM sim WHERE similitud >= 0.3 AND NOT EXISTS (SELECT 1 FROM edge WHERE least(edge.termino_a, edge.termino_b) = sim.termino_a AND greatest(edge.termino_a, edge.termino_b) = sim.termino_b)",
     "terms_daily": f"WITH {Q.TERMS} SELECT fecha, termino, {_COUNT} AS frecuencia FROM term GROUP BY ALL",
