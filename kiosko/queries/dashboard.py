@@ -16,6 +16,7 @@ from kiosko.queries.titles import rows
 
 START, END = datetime.date(2026, 2, 25), datetime.date(2026, 3, 25)
 SOURCE = "diariocoiron"
+LEMMA = "elección"
 WORDS = ["hospital", "escuela", "senado"]
 COMMON = ["País", "villa", "quebrada"]
 KNOWN = {SOURCE: "Captura interrumpida por el sitio."}
@@ -76,6 +77,12 @@ def evolution_terms(spark, d):
     return B.series(B.between(_terms(spark, d), START, END), WORDS)
 
 
+def evolution_lemma(spark, d):
+    """The course of a word in all its forms (the lemma map turned about), under the one name."""
+    own = B.series(B.between(_terms(spark, d), START, END), D.variants(LEMMA))
+    return own.groupBy("fecha").agg(F.sum("frecuencia").alias("frecuencia")).select("fecha", F.lit(LEMMA).alias("termino"), "frecuencia")
+
+
 def evolution_source(spark, d):
     return B.series(B.between(_terms(spark, d), START, END, SOURCE), COMMON)
 
@@ -197,7 +204,7 @@ def recent_articles(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    date_range, corpus_size, distinct_terms, top_terms_10, top_terms_source, top_term_per_source, routed_top_terms, evolution_terms, evolution_source,
+    date_range, corpus_size, distinct_terms, top_terms_10, top_terms_source, top_term_per_source, routed_top_terms, evolution_terms, evolution_lemma, evolution_source,
     evolution_yearly, volume_day, volume_summary, volume_period_source, source_totals, source_share_by_year, term_search_prefix, term_search_stems,
     title_search_word, title_search_any, news_page, news_page_ascending, news_count, concept_by_source_dense, gap_diagnostics, source_status, last_dates,
     recent_articles, source_labels, routed_monthly_terms, all_term_totals, guarded_sql, clamped_range,
@@ -229,6 +236,7 @@ ORACLE = {
       FROM {_T} WHERE trim(termino) <> '' GROUP BY fuente, termino) WHERE r <= 3""",
     "routed_top_terms": f"SELECT termino, sum(frecuencia)::BIGINT AS total FROM {_T} WHERE {_IN} AND termino NOT IN {_STOP} GROUP BY termino ORDER BY 2 DESC, 1 LIMIT 30",
     "evolution_terms": _series(_IN),
+    "evolution_lemma": f"SELECT fecha, '{LEMMA}' AS termino, sum(frecuencia)::BIGINT AS frecuencia FROM {_T} WHERE lower(termino) IN ('elección', 'elecciones', 'electoral', 'electorales') AND {_IN} GROUP BY fecha",
     "evolution_source": _series(f"{_IN} AND fuente = '{SOURCE}'", COMMON),
     "evolution_yearly": f"SELECT year(fecha)::INTEGER AS anio, termino, sum(frecuencia)::BIGINT AS frecuencia FROM {_T} WHERE lower(termino) IN {Q.inside(WORDS)} GROUP BY ALL",
     "volume_day": f"WITH {Q.ART} SELECT fecha, count(*) AS n FROM art WHERE {_IN} GROUP BY fecha",
