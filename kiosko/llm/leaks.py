@@ -7,8 +7,8 @@ item) met, the seeds that no equal word precedes begin the maximal matches, whos
 prefix hashes.  The longest match that overlaps no tile yet is marked as a tile again and again until none of ``least``
 words is left; the share of the item's words that the tiles cover shows reordered passages too.
 
-Defined results: null and blank texts give nothing; rows with equal ids are judged together (the best coverage is
-kept); an item shorter than ``least`` words can't be found.
+Defined results: null and blank texts give nothing; of rows with equal ids those that hold a passage are put together (the
+best coverage is kept); an item shorter than ``least`` words can't be found.
 """
 
 from __future__ import annotations
@@ -294,7 +294,8 @@ def leaks(
                 index = shared.value
                 own = Chunks(index.number) if chunks is None else chunks
                 for first, last in _parts(texts, BATCH):
-                    rows += [(ids[first + d], index.ids[k], c, most, n) for d, k, c, most, n in found(texts[first:last], index, own)]
+                    met = found(texts[first:last], index, own)
+                    rows += [(ids[first + d], index.ids[k], c, most, n) for d, k, c, most, n in met if c >= coverage or most >= longest]
                 if len(held) > 1:
                     shared.__dict__.pop("_value", None)  # one block at a time; it is read again from the worker's disk
             if rows:
@@ -307,7 +308,6 @@ def leaks(
         .mapInPandas(search, schema)
         .groupBy("doc_id", "item_id")
         .agg(F.max("cobertura").alias("cobertura"), F.max("mayor").alias("mayor"), F.max("teselas").alias("teselas"))
-        .where((F.col("cobertura") >= coverage) | (F.col("mayor") >= longest))
     )
 
 
