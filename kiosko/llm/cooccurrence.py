@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiosko.llm.consistent import consistent_titles
+from kiosko.llm.consistent import articles, consistent_titles
 from kiosko.plans.common import BROADCAST_ROWS, hinted, written
 
 #: Rows of a record block, blocks of items, products expanded at a time, partial sums kept by a task.
@@ -222,6 +222,12 @@ def title_baskets(noticias: DataFrame) -> DataFrame:
     return written(consistent_titles(noticias).where("forma <> ''").select(words(F.col("forma")).alias("items")))
 
 
+def written_pairs(noticias: DataFrame, least: int = 4) -> DataFrame:
+    """The pairs of words, as the titles have them in lower case, in at least ``least`` titles, with their lift."""
+    baskets = written(articles(noticias, "titulo").where(F.trim("titulo") != "").select(words(F.col("titulo")).alias("items")))
+    return measured(pair_counts(baskets, support=least), baskets.count()).drop("npmi")
+
+
 def title_pairs(noticias: DataFrame, least: int = 4, share: float = 1 / 2000) -> DataFrame:
     """The pairs of words in at least ``least`` titles and ``share`` of all, with their measures."""
     baskets = title_baskets(noticias)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kiosko.llm import boilerplate, consistent, cooccurrence, frequency, leaks, packing, quality
 from kiosko.plans.common import read, written
@@ -52,6 +53,11 @@ def p5_pairs(spark: SparkSession, d: str) -> DataFrame:
     return cooccurrence.title_pairs(read(spark, d, "noticias"))
 
 
+def p5_written(spark: SparkSession, d: str) -> DataFrame:
+    pairs = cooccurrence.written_pairs(read(spark, d, "noticias"))
+    return pairs.withColumn("elevacion", F.round("elevacion", 6))
+
+
 def p6_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed_documents(read(spark, d, "documents"))
 
@@ -81,7 +87,7 @@ def p8_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    p2_found, p2_frequencies, p3_found, p3_titles, p3_classes, p4_found, p4_lines, p4_bodies, p5_found, p5_pairs,
+    p2_found, p2_frequencies, p3_found, p3_titles, p3_classes, p4_found, p4_lines, p4_bodies, p5_found, p5_pairs, p5_written,
     p6_packing, p6_fill, p6_invariants, p7_found, p7_coverage, p8_found, p8_quality,
 )}
 
@@ -113,6 +119,12 @@ ORACLE: dict[str, str] = {
     "p2_found": f"""SELECT campo, valor, 'raro' AS marca FROM ({_FREQUENCIES}) WHERE raro
       UNION ALL SELECT campo, valor, 'comun' AS marca FROM ({_FREQUENCIES}) WHERE comun""",
     "p2_frequencies": _FREQUENCIES,
+    "p5_written": r"""WITH t AS (SELECT id, min(titulo) AS titulo FROM noticias WHERE id IS NOT NULL GROUP BY id),
+      w AS (SELECT id, unnest(list_distinct(list_filter(regexp_extract_all(lower(titulo), '\p{L}+'), lambda x: length(x) >= 4))) AS w FROM t WHERE trim(titulo) <> ''),
+      n AS (SELECT w, count(*) AS n FROM w GROUP BY w)
+      SELECT a.w AS termino_a, b.w AS termino_b, any_value(na.n) AS n_a, any_value(nb.n) AS n_b, count(*) AS n_ab,
+        round(count(*) * (SELECT count(*) FROM t WHERE trim(titulo) <> '')::DOUBLE / (any_value(na.n)::DOUBLE * any_value(nb.n)), 6) AS elevacion
+      FROM w a JOIN w b ON a.id = b.id AND a.w < b.w JOIN n na ON a.w = na.w JOIN n nb ON b.w = nb.w GROUP BY a.w, b.w HAVING count(*) >= 4""",
     "p6_invariants": "SELECT count(*) AS textos, 0::BIGINT AS perdidos, 0::BIGINT AS mal_divididos, 0::BIGINT AS excedidos, true AS ajustado FROM documents",
     "p4_found": f"WITH {_LINES} SELECT id, nro::INTEGER AS nro_linea FROM n JOIN rep USING (fuente, linea)",
     "p4_lines": f"WITH {_LINES} SELECT fuente, linea, articulos, total FROM rep",
