@@ -62,8 +62,18 @@ def hyphens(x: str) -> str:
     return f"list_filter({x}, lambda x: NOT contains(x, '-') OR regexp_full_match(x, '{part}-{part}'))"
 
 
+def fused_by(x: str, regex: str, names: str) -> str:
+    """The same by a regular expression and a map that columns hold."""
+    marked = f"array_to_string(list_transform({x}, lambda x: '<' || x || '>'), '')"
+    return f"list_transform(regexp_extract_all({marked}, {regex}), lambda x: coalesce(map_extract({names}, x)[1], regexp_replace(x, '[<>]', '', 'g')))"
+
+
 def terms(x: str, pairs: bool = False) -> str:
-    out = renamed(fused(kept_tokens(term_profile(x)), D.compounds(pairs)), D.hyphens())
+    return canonical(fused(kept_tokens(term_profile(x)), D.compounds(pairs)), pairs)
+
+
+def canonical(fused_tokens: str, pairs: bool = False) -> str:
+    out = renamed(fused_tokens, D.hyphens())
     return hyphens(renamed(out, D.singles())) if pairs else renamed(renamed(hyphens(out), D.singles()), D.lemmas())
 
 

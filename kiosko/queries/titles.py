@@ -213,12 +213,21 @@ _SIMILAR = f"""{_NETWORK}, x AS (SELECT termino_a AS t, termino_b AS o, peso::DO
 _ENDINGS = sorted({" ".join(p[i:]) for p in D.compounds() for i in range(1, len(p))})
 _SINGULAR = "CASE WHEN w LIKE '%ces' AND length(w) > 4 THEN left(w, -3) || 'z' WHEN w LIKE '%es' AND length(w) > 4 THEN left(w, -2) WHEN w LIKE '%s' AND length(w) > 3 THEN left(w, -1) ELSE w END"
 
-ORACLE = {
-    "dynamic_compounds": f"""WITH g AS (SELECT ngrama, sum(n) AS total FROM titulos_ngramas_diarios WHERE tipo IN (2, 3) AND ngrama IS NOT NULL GROUP BY ngrama HAVING sum(n) >= {DYNAMIC}),
+_DYNAMIC = f"""g AS (SELECT ngrama, sum(n) AS total FROM titulos_ngramas_diarios WHERE tipo IN (2, 3) AND ngrama IS NOT NULL GROUP BY ngrama HAVING sum(n) >= {DYNAMIC}),
       l AS (SELECT ngrama, total, array_to_string(list_transform(string_split(ngrama, ' '), lambda w: {_SINGULAR}), ' ') AS etiqueta FROM g
         WHERE len(string_split(ngrama, ' ')) IN (2, 3) AND ngrama NOT IN {Q.inside(_ENDINGS)}),
-      b AS (SELECT ngrama AS patron, etiqueta, total, ngrama, 0 AS k FROM l UNION ALL SELECT etiqueta, etiqueta, total, ngrama, 1 FROM l)
-      SELECT patron, etiqueta FROM (SELECT *, row_number() OVER (PARTITION BY patron ORDER BY total DESC, ngrama, k, etiqueta) AS r FROM b) WHERE r = 1""",
+      b AS (SELECT ngrama AS patron, etiqueta, total, ngrama, 0 AS k FROM l UNION ALL SELECT etiqueta, etiqueta, total, ngrama, 1 FROM l),
+      dyn AS (SELECT patron, etiqueta FROM (SELECT *, row_number() OVER (PARTITION BY patron ORDER BY total DESC, ngrama, k, etiqueta) AS r FROM b) WHERE r = 1)"""
+_CURATED = {" ".join(p): name for p, name in D.compounds().items()}
+
+ORACLE = {
+    "dynamic_compounds": f"WITH {_DYNAMIC} SELECT * FROM dyn",
+    "terms_daily_dynamic": f"""WITH {Q.ART}, {_DYNAMIC}, cur AS (SELECT unnest({Q.listed(_CURATED)}) AS patron, unnest({Q.listed(_CURATED.values())}) AS etiqueta),
+      pat AS (SELECT '<' || replace(patron, ' ', '><') || '>' AS m, etiqueta, len(string_split(patron, ' ')) AS n FROM (SELECT * FROM cur UNION ALL SELECT * FROM dyn WHERE patron NOT IN (SELECT patron FROM cur))),
+      rx AS (SELECT string_agg(m, '|' ORDER BY n DESC, m) || '|<[^<>]*>' AS r, map(list(m ORDER BY m), list(etiqueta ORDER BY m)) AS names FROM pat),
+      tok AS (SELECT fecha, {Q.canonical(Q.fused_by(Q.kept_tokens(Q.term_profile("titulo")), "rx.r", "rx.names"))} AS toks FROM art, rx WHERE trim(titulo) <> ''),
+      term AS (SELECT fecha, t.termino AS termino FROM tok, unnest(toks) AS t(termino) WHERE length(t.termino) <= 150)
+      SELECT fecha, termino, {_COUNT} AS frecuencia FROM term GROUP BY ALL""",
     "louvain_validity": f"WITH {_NETWORK} SELECT (SELECT count(DISTINCT t) FROM (SELECT termino_a AS t FROM edge UNION ALL SELECT termino_b FROM edge)) AS nodos, count(*) AS aristas, true AS mejor_que_una, true AS coincide, 0::BIGINT AS uniones_mejores FROM edge",
     "network_similarity": f"WITH {_SIMILAR} SELECT * FROM sim",
     "semantic_edges": f"WITH {_SIMILAR} SELECT * FROM sim WHERE similitud >= 0.3 AND NOT EXISTS (SELECT 1 FROM edge WHERE least(edge.termino_a, edge.termino_b) = sim.termino_a AND greatest(edge.termino_a, edge.termino_b) = sim.termino_b)",
