@@ -70,26 +70,31 @@ Santa María|Santa Rosa|Santo Domingo|Democracia Cristiana|Renovación Nacional|
 Partido Socialista|Partido Republicano|Chile Vamos|Apruebo Dignidad|Convergencia Social
 """.strip().replace("\n", "|").split("|")
 
-# Single words that stand for a name.
-SURNAMES = {
-    "Gabriel Boric": "boric", "Sebastián Piñera": "piñera pinera", "Michelle Bachelet": "bachelet", "Evelyn Matthei": "matthei",
-    "Yasna Provoste": "provoste", "Mario Desbordes": "desbordes", "Daniel Jadue": "jadue", "Carolina Tohá": "tohá toha",
-    "Camila Vallejo": "vallejo", "José Antonio Kast": "kast", "Donald Trump": "trump", "Joe Biden": "biden", "Vladimir Putin": "putin",
-    "Volodimir Zelenski": "zelenski zelensky", "Javier Milei": "milei", "Jair Bolsonaro": "bolsonaro", "Lula da Silva": "lula",
-    "Mario Marcel": "marcel", "Johannes Kaiser": "kaiser", "Rodolfo Carter": "carter", "Claudio Orrego": "orrego",
-    "Nayib Bukele": "bukele", "Emmanuel Macron": "macron", "Giorgia Meloni": "meloni", "Benjamin Netanyahu": "netanyahu",
-    "Nicolás Maduro": "maduro", "Elon Musk": "musk", "Unión Demócrata Independiente": "udi", "Partido Por la Democracia": "ppd",
-    "Democracia Cristiana": "pdc", "Evolución Política": "evópoli evopoli",
+# Single words and the name they stand for.
+SINGLES = {
+    "boric": "Gabriel Boric", "piñera": "Sebastián Piñera", "pinera": "Sebastián Piñera", "bachelet": "Michelle Bachelet",
+    "matthei": "Evelyn Matthei", "provoste": "Yasna Provoste", "desbordes": "Mario Desbordes", "jadue": "Daniel Jadue",
+    "tohá": "Carolina Tohá", "toha": "Carolina Tohá", "vallejo": "Camila Vallejo", "kast": "José Antonio Kast", "trump": "Donald Trump",
+    "biden": "Joe Biden", "putin": "Vladimir Putin", "zelenski": "Volodimir Zelenski", "zelensky": "Volodimir Zelenski",
+    "milei": "Javier Milei", "bolsonaro": "Jair Bolsonaro", "lula": "Lula da Silva", "marcel": "Mario Marcel", "kaiser": "Johannes Kaiser",
+    "carter": "Rodolfo Carter", "orrego": "Claudio Orrego", "bukele": "Nayib Bukele", "macron": "Emmanuel Macron",
+    "meloni": "Giorgia Meloni", "netanyahu": "Benjamin Netanyahu", "maduro": "Nicolás Maduro", "musk": "Elon Musk",
+    "udi": "Unión Demócrata Independiente", "ppd": "Partido Por la Democracia", "pdc": "Democracia Cristiana",
+    "evópoli": "Evolución Política", "evopoli": "Evolución Política",
 }
 
-# Forms of a word and its lemma.
-LEMMA_FORMS = {
-    "delincuencia": "delincuente delincuentes", "crimen": "criminal criminales", "corrupción": "corrupto corruptos corrupta corruptas",
-    "migración": "migrante migrantes migratorio migratoria", "economía": "económico económica económicos económicas",
-    "manifestación": "manifestante manifestantes", "protesta": "protestas", "constitución": "constituyente constituyentes constitucional",
-    "pensión": "pensionado pensionados pensionada pensionadas", "violencia": "violento violenta violentos violentas",
-    "elección": "elecciones electoral electorales", "salud": "sanitario sanitaria sanitarios sanitarias",
-    "educación": "educativo educativa educativos educativas", "sismo": "terremoto terremotos sismos",
+# Forms of a word and their lemma.
+LEMMAS = {
+    "delincuente": "delincuencia", "delincuentes": "delincuencia", "criminal": "crimen", "criminales": "crimen", "corrupto": "corrupción",
+    "corruptos": "corrupción", "corrupta": "corrupción", "corruptas": "corrupción", "migrante": "migración", "migrantes": "migración",
+    "migratorio": "migración", "migratoria": "migración", "económico": "economía", "económica": "economía", "económicos": "economía",
+    "económicas": "economía", "manifestante": "manifestación", "manifestantes": "manifestación", "protestas": "protesta",
+    "constituyente": "constitución", "constituyentes": "constitución", "constitucional": "constitución", "pensionado": "pensión",
+    "pensionados": "pensión", "pensionada": "pensión", "pensionadas": "pensión", "violento": "violencia", "violenta": "violencia",
+    "violentos": "violencia", "violentas": "violencia", "elecciones": "elección", "electoral": "elección", "electorales": "elección",
+    "sanitario": "salud", "sanitaria": "salud", "sanitarios": "salud", "sanitarias": "salud", "educativo": "educación",
+    "educativa": "educación", "educativos": "educación", "educativas": "educación", "terremoto": "sismo", "terremotos": "sismo",
+    "sismos": "sismo",
 }
 
 # Words that are left out of bodies.
@@ -144,16 +149,16 @@ def hyphens() -> dict[str, str]:
 
 
 def singles() -> dict[str, str]:
-    return {w: name for name, words in SURNAMES.items() for w in words.split()}
+    return dict(SINGLES)
 
 
 def lemmas() -> dict[str, str]:
-    return {w: lemma for lemma, words in LEMMA_FORMS.items() for w in words.split()}
+    return dict(LEMMAS)
 
 
 def variants(word: str) -> list[str]:
     """A canonical word and all its forms (the inverse of the lemma map)."""
-    return [word, *LEMMA_FORMS.get(word, "").split()]
+    return [word, *(form for form, lemma in LEMMAS.items() if lemma == word)]
 
 
 def singular(word: str) -> str:
