@@ -31,8 +31,10 @@ def term_table(start: datetime.date, end: datetime.date, by_source: bool = False
     return "titulos_terminos_por_medio" if by_source else "titulos_terminos_diarios"
 
 
-def clamped(start: datetime.date, end: datetime.date, last: datetime.date, today: datetime.date, floor: datetime.date = FIRST_DAY) -> tuple[datetime.date, datetime.date] | None:
-    """The range within what there is; None if nothing is left."""
+def clamped(start: datetime.date, end: datetime.date, last: datetime.date | None, today: datetime.date, floor: datetime.date = FIRST_DAY) -> tuple[datetime.date, datetime.date] | None:
+    """The range within what there is up to the ``last`` day; None if nothing is left."""
+    if last is None:
+        return None
     lo, hi = max(start, floor), min(end, last, today)
     return (lo, hi) if lo <= hi else None
 

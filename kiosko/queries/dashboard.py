@@ -190,8 +190,8 @@ def guarded_sql(spark, d):
 def clamped_range(spark, d):
     """The range that is asked, within the dates that there are."""
     last = rows(spark, d).agg(F.max("fecha")).first()[0]  # one row
-    lo, hi = router.clamped(datetime.date(2010, 1, 1), datetime.date(2100, 1, 1), last, END)
-    return spark.createDataFrame([(lo, hi, router.granularity(lo, hi))], "desde date, hasta date, detalle string")
+    found = router.clamped(datetime.date(2010, 1, 1), datetime.date(2100, 1, 1), last, END)
+    return spark.createDataFrame([(*found, router.granularity(*found))] if found else [], "desde date, hasta date, detalle string")
 
 
 def last_dates(spark, d):

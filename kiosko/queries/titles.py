@@ -103,7 +103,7 @@ def louvain_validity(spark, d):
     best = N.modularity_of(pairs, member)
     kinds = sorted(set(member.values()))
     better = sum(N.modularity_of(pairs, {t: a if c == b else c for t, c in member.items()}) > best + 1e-9 for i, a in enumerate(kinds) for b in kinds[i + 1 :])
-    return spark.createDataFrame([(row.nodos, row.aristas, row.modularidad > 0, abs(best - row.modularidad) < 1e-5, better)], "nodos bigint, aristas bigint, mejor_que_una boolean, coincide boolean, uniones_mejores bigint")
+    return spark.createDataFrame([(row.nodos, row.aristas, (row.modularidad or 0) > 0, abs(best - (row.modularidad or 0)) < 1e-5, better)], "nodos bigint, aristas bigint, mejor_que_una boolean, coincide boolean, uniones_mejores bigint")
 
 
 def _terms(spark, d):

@@ -19,6 +19,7 @@ def test_router_and_guard():
     assert router.term_table(D(2024, 1, 1), D(2024, 2, 1), True) == "titulos_terminos_por_medio"
     assert router.clamped(D(2010, 1, 1), D(2030, 1, 1), D(2026, 1, 1), D(2025, 1, 1)) == (D(2018, 1, 1), D(2025, 1, 1))
     assert router.clamped(D(2026, 1, 1), D(2026, 2, 1), D(2025, 1, 1), D(2025, 1, 1)) is None
+    assert router.clamped(D(2026, 1, 1), D(2026, 2, 1), None, D(2025, 1, 1)) is None
     assert router.guarded("```sql\nSELECT 1```") == "SELECT 1 LIMIT 30"
     assert router.guarded("SELECT created_at FROM noticias") is None and router.guarded("DROP TABLE x") is None and router.guarded(None) is None
     assert [B.pages(n) for n in (0, 5, 6)] == [1, 1, 2]
