@@ -21,17 +21,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``.  Where it names none, a session within one process
+    """The folder that the cluster names in ``spark.checkpoint.dir`` or has set for checkpoints.  Where there is none, a session within one process
     takes a folder of its own; on a cluster that is an error, for each executor would write to its own disk."""
-    there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    there = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if there:
         return there
-    master = spark.sparkContext.master
+    master = context.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; tables in between are written there")
-    if not hasattr(spark.sparkContext, "_kiosko_folder"):
-        spark.sparkContext._kiosko_folder = tempfile.mkdtemp(prefix="kiosko-")  # type: ignore[attr-defined]
-    return spark.sparkContext._kiosko_folder  # type: ignore[attr-defined]
+    if not hasattr(context, "_kiosko_folder"):
+        context._kiosko_folder = tempfile.mkdtemp(prefix="kiosko-")  # type: ignore[attr-defined]
+    return context._kiosko_folder  # type: ignore[attr-defined]
 
 
 def written(df: DataFrame, *by: str) -> DataFrame:

@@ -167,11 +167,13 @@ def test_a_cluster_needs_a_shared_folder():
 
     from kiosko.plans.common import shared_folder
 
-    def session(master, folder=None):
+    def session(master, folder=None, set_one=None):
         conf = SimpleNamespace(get=lambda *_: folder)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda *_: None)))
+        context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda *_: None), getCheckpointDir=lambda: set_one)
+        return SimpleNamespace(conf=conf, sparkContext=context)
 
     assert shared_folder(session("spark://x", "hdfs://y")) == "hdfs://y"
+    assert shared_folder(session("spark://x", None, "hdfs://z")) == "hdfs://z"
     for master in ("spark://x", "local-cluster[2,1,1024]", "yarn"):
         with pytest.raises(RuntimeError, match="checkpoint"):
             shared_folder(session(master))
