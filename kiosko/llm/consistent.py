@@ -206,6 +206,11 @@ def _spelled_forms(own: DataFrame) -> DataFrame:
     return written(own.groupBy("forma", "titulo").agg(F.count("*").alias("n")))
 
 
+def _hashed(text: str) -> list[Column]:
+    """Two 64-bit hashes by which a small side of a join names a text, so that its rows are short whatever the texts are."""
+    return [F.xxhash64(text).alias("_h"), F.xxhash64(F.lit(1), text).alias("_g")]
+
+
 def lookalike_classes(noticias: DataFrame) -> DataFrame:
     """(id, clase, grafias, enlaces) of every article with a non-blank title: its class is the least id of the articles
     whose titles read the same, ``grafias`` the number of different strings in the class, ``enlaces`` the number of its
@@ -213,8 +218,8 @@ def lookalike_classes(noticias: DataFrame) -> DataFrame:
     own = written(consistent_titles(noticias).where(F.col("forma") != ""))
     spelled = own.groupBy("forma", "titulo").agg(F.count("*").alias("n"), F.min("id").alias("clase"))
     forms = spelled.groupBy("forma").agg(F.min("clase").alias("clase"), F.count("*").alias("grafias"), F.sum("n").alias("todos"))
-    by_title = written(spelled.drop("clase").join(forms, "forma").select("titulo", "n", "clase", "grafias", (F.col("todos") - F.col("n")).alias("enlaces")))
-    return joined(own.select("id", "titulo"), by_title, ["titulo"], "n").select("id", "clase", "grafias", "enlaces")
+    by_title = written(spelled.drop("clase").join(forms, "forma").select(*_hashed("titulo"), "n", "clase", "grafias", (F.col("todos") - F.col("n")).alias("enlaces")))
+    return joined(own.select("id", *_hashed("titulo")), by_title, ["_h", "_g"], "n").select("id", "clase", "grafias", "enlaces")
 
 
 def lookalike_pairs(noticias: DataFrame) -> DataFrame:
@@ -226,9 +231,9 @@ def lookalike_pairs(noticias: DataFrame) -> DataFrame:
     """
     own = written(consistent_titles(noticias).where(F.col("forma") != ""))  # once, for it is read several times
     several = own.groupBy("forma").agg(F.min("titulo").alias("lo"), F.max("titulo").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    own = written(joined(own, written(several.select("forma", "n")), ["forma"], "n").select("forma", "titulo", "id"))
+    own = written(joined(own.select("*", *_hashed("forma")), written(several.select(*_hashed("forma"), "n")), ["_h", "_g"], "n").select("forma", "titulo", "id"))
     spelled = _spelled_forms(own).withColumn("k", F.ceil(F.col("n") / CHUNK).cast("int"))
-    ids = joined(own.select("titulo", "id"), spelled.select("titulo", "n", "k"), ["titulo"], "n").select("titulo", F.pmod(F.xxhash64("id"), "k").cast("int").alias("c"), "id")
+    ids = joined(own.select("titulo", "id", *_hashed("titulo")), spelled.select(*_hashed("titulo"), "n", "k"), ["_h", "_g"], "n").select("titulo", F.pmod(F.xxhash64("id"), "k").cast("int").alias("c"), "id")
     side = lambda x: spelled.select("forma", F.col("titulo").alias(f"t_{x}"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias(f"c_{x}"))
     pairs = written(side("a").join(side("b"), "forma").where("t_a < t_b").drop("forma"))
     keys = ["t_a", "c_a", "t_b", "c_b"]
